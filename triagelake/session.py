@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -42,9 +43,12 @@ def staging_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="triagelake-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"triagelake-{application}-")
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
