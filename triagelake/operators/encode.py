@@ -128,10 +128,13 @@ def age_fill_value(train: DataFrame, column: str = "Age") -> DataFrame:
 
 
 def scaler_parameters(encoded: DataFrame, features: list[str]) -> DataFrame:
-    """(feature, mean, deviation, n): population deviation, all features in one pass."""
-    stats = encoded.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("deviation"),
-                                   F.count(c).alias("n")).alias(c) for c in features])
-    return stats.unpivot([], features, "feature", "s").select("feature", "s.mean", "s.deviation", "s.n")
+    """(feature, mean, deviation, n): population deviation, all features in one pass.
+
+    Features are stacked and grouped rather than aggregated side by side: three
+    aggregates compile to tight code, three per feature do not.
+    """
+    return long_values(encoded, features, [], "double").groupBy("feature").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"), F.count("value").alias("n"))
 
 
 def _usable_deviation(mean: float, deviation: float, n: int) -> float:

@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import stage
+from ..session import spread, stage
 from .metrics import evaluate, ranking_metrics
 from .resample import Prepared
 from .selection import RESULT_COLUMNS
@@ -154,12 +154,6 @@ def scored(model: Transformer, df: DataFrame, keep: list[str]) -> DataFrame:
     return out.select(*keep, vector_to_array("probability")[1].alias(SCORE))
 
 
-def spread(df: DataFrame, rows: int, rows_per_task: int = 2_000) -> DataFrame:
-    """Enough partitions to occupy all cores when a small table sits in few files; never fewer than before."""
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / rows_per_task))
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
-
-
 def require_rows(**frames: DataFrame) -> None:
     empty = [name for name, df in frames.items() if df.isEmpty()]
     if empty:
@@ -180,7 +174,7 @@ def run_benchmark(prepared: Prepared, label: str, row_id: str, names: list[str]
         train = with_class_weight(train, label, column=weight)
     train = stage(train, "train")
     size = train.count()
-    train = spread(train, size).persist()
+    train = spread(train).persist()
     try:
         factories = factories or registry(label, size, seed, weight)
         held = stage(assembled(prepared.validation, prepared.features).withColumn("part", F.lit("validation")).unionByName(

@@ -43,6 +43,15 @@ def _squared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
+def _squared_pairs(left: np.ndarray, right: np.ndarray, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The same sum for selected pairs."""
+    total = np.zeros(len(rows))
+    for d in range(left.shape[1]):
+        gap = left[rows, d] - right[others, d]
+        total += gap * gap
+    return total
+
+
 def _stack(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(float)
 
@@ -96,13 +105,19 @@ def _search(queries: DataFrame, points: DataFrame, blocks: dict[int, int], k: in
         there, who = _stack(held["vec"]), held["pid"].to_numpy()
         here, asker = _stack(asking["vec"]), asking["pid"].to_numpy()
         step = max(1, 4_000_000 // len(there))
+        norms, rank = np.einsum("ij,ij->i", there, there), min(k, len(there)) - 1
         picked_q, picked_p, picked_d = [], [], []
         for start in range(0, len(here), step):
-            part = np.round(_squared(here[start:start + step], there), DIGITS)
-            part[asker[start:start + step, None] == who[None, :]] = np.inf
-            kth = np.partition(part, min(k, part.shape[1]) - 1, axis=1)[:, min(k, part.shape[1]) - 1]
-            q, p = np.nonzero((part <= kth[:, None]) & np.isfinite(part))
-            d = part[q, p]
+            part = here[start:start + step]
+            sizes = np.einsum("ij,ij->i", part, part)
+            rough = sizes[:, None] + norms[None, :] - 2 * (part @ there.T)
+            rough[asker[start:start + step, None] == who[None, :]] = np.inf
+            # The product form is fast but rounds differently: it only preselects, with room
+            # for its error, and the selected pairs are measured again feature by feature.
+            room = 1e-8 + 1e-13 * part.shape[1] * (sizes + norms.max())
+            limit = np.partition(rough, rank, axis=1)[:, rank] + room
+            q, p = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+            d = np.round(_squared_pairs(part, there, q, p), DIGITS)
             order = np.lexsort((p, d, q))  # p follows the id order
             q, p, d = q[order], p[order], d[order]
             place = np.arange(len(q)) - np.searchsorted(q, q)
@@ -144,7 +159,7 @@ def _visits(cells: DataFrame, bound: DataFrame, pivots: np.ndarray, reach: np.nd
 
 
 def nearest_neighbours(df: DataFrame, row_id: str, vector: str, k: int = 5,
-                       points_per_cell: int = POINTS_PER_CELL, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                       points_per_cell: int = POINTS_PER_CELL, block_rows: int | None = None) -> DataFrame:
     """(id, neighbours) with exactly k entries (distance, id, vec) per row, nearest first.
 
     Needs at least k + 1 rows. ``distance`` is the squared Euclidean distance.
@@ -152,6 +167,9 @@ def nearest_neighbours(df: DataFrame, row_id: str, vector: str, k: int = 5,
     points = df.select(F.col(row_id).alias("id"), F.col(vector).alias("vec"))
     folded = stage(_fold_copies(points, k), "points")
     total = folded.count()
+    if block_rows is None:  # small sets are cut finer, so that all cores take part
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        block_rows = min(BLOCK_ROWS, max(512, math.ceil(total / (2 * math.sqrt(cores)))))
     n_cells = min(MAX_CELLS, max(1, math.ceil(total / points_per_cell)))
     # Pivots: a bounded number of points in hash order. They steer work, not results.
     rows = folded.orderBy(F.xxhash64("vec"), "pid").limit(n_cells).select("vec").collect()

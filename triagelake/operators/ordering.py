@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..session import stage
 
 MAX_BINS = 4096
-ROWS_PER_BIN = 250_000
+ROWS_PER_BIN = 50_000
 LAST = sys.float_info.max
 
 

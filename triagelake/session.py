@@ -51,6 +51,15 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"triagelake-{application}-")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Occupy all cores when a table comes in few large row groups; otherwise unchanged.
+
+    Tables with at least as many input partitions as cores are never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.cleaning import AGE_BANDS, AGE_ZERO_BAND
 from ..functions.vocabulary import FORM_ORDER, MONTHS, WEEKDAYS
+from ..session import spread
 
 LABEL = (
     "CASE WHEN (o_orderkey * 7919 + o_custkey * 104729) % 100 < "
@@ -111,7 +112,7 @@ def wide_claims(spark: SparkSession, folder: str) -> DataFrame:
     customer = spark.read.parquet(f"{folder}/customer.parquet").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = spark.read.parquet(f"{folder}/nation.parquet").select("n_nationkey", "n_name")
-    claims = core_claims(spark, folder)
+    claims = spread(orders(spark, folder)).selectExpr(*_select(CORE))
     return (
         claims.join(customer, claims.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
@@ -121,7 +122,7 @@ def wide_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 def contract_claims(spark: SparkSession, folder: str) -> DataFrame:
     """All contract columns plus ``score``; one scan of orders."""
-    return orders(spark, folder).selectExpr(*_select(contract_expressions("(dayofweek(o_orderdate) - 1)")))
+    return spread(orders(spark, folder)).selectExpr(*_select(contract_expressions("(dayofweek(o_orderdate) - 1)")))
 
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
