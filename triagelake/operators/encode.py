@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.cleaning import clean_claims, numeric_age
 from ..functions.vocabulary import FORM_ORDER, HIDDEN_ANSWERS
 from ..schema import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, require_exact_order
+from ..session import stage
 from .ordering import global_rank, quantiles
 from .profile import long_values
 
@@ -91,11 +92,14 @@ def _join_codes(df: DataFrame, codes: DataFrame, name: str) -> DataFrame:
     return df.join(table, name, "left").withColumn(name, found).drop("__code")
 
 
+def _distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    return long_values(df, columns, [], "string").filter(F.col("value").isNotNull()).groupBy(
+        "feature", "value").agg(F.lit(1).alias("one")).drop("one")
+
+
 def value_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, value, code) with codes from 0 along the sorted distinct values, for any number of values."""
-    distinct = long_values(df, columns, [], "string").filter(F.col("value").isNotNull()).groupBy(
-        "feature", "value").agg(F.lit(1).alias("one")).drop("one")
-    ranked = global_rank(distinct, [F.col("feature"), F.col("value")], "r")
+    ranked = global_rank(_distinct_values(df, columns), [F.col("feature"), F.col("value")], "r")
     starts = ranked.groupBy("feature").agg(F.min("r").alias("first"))
     return ranked.join(F.broadcast(starts), "feature").select(
         "feature", "value", (F.col("r") - F.col("first")).cast("int").alias("code"))
@@ -109,8 +113,8 @@ def category_lists(df: DataFrame, columns: list[str],
     """
     if not columns:
         return {}, []
-    values = long_values(df, columns, [], "string").filter(F.col("value").isNotNull()).groupBy(
-        "feature", "value").agg(F.lit(1).alias("one"))
+    # Written once: the data is scanned a single time for sizes and lists.
+    values = stage(_distinct_values(df, columns), "values")
     sizes = {r["feature"]: r["n"] for r in values.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     small = [c for c in columns if sizes.get(c, 0) <= inline_values]
     lists = {c: [] for c in small}

@@ -17,12 +17,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..session import stage
 
 MAX_BINS = 4096
-ROWS_PER_BIN = 50_000
+ROWS_PER_BIN = 200_000
 LAST = sys.float_info.max
 
 
@@ -130,7 +130,12 @@ def locate_ranks(binned: DataFrame, ranks: Callable[[DataFrame], DataFrame], key
 
 def score_boundaries(scored: DataFrame, score: str, row_id: str, label: str,
                      ranks: Callable[[DataFrame], DataFrame], rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
-    """Cumulative positives at given ranks of 'score descending, row id ascending'."""
+    """Cumulative positives at given ranks of 'score descending, row id ascending'.
+
+    Row ids must be numbers: heavy ties are cut along them.
+    """
+    if not isinstance(scored.schema[row_id].dataType, T.NumericType):
+        raise TypeError(f"row id {row_id} must be numeric")
     keyed = scored.select(descending(score).alias("key"), F.col(row_id).alias("tie"), F.col(label).alias("y"))
     cuts = find_cuts(keyed, "key", "tie", rows_per_bin)
     binned = add_bins(keyed, cuts, "key", "tie")
@@ -215,9 +220,10 @@ def global_rank(df: DataFrame, order: list[Column], rank: str = "rank", partitio
     rank is then position plus the size of all earlier partitions. End the key with
     a unique column: ties are impossible then and every range can be balanced.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number, adaptive execution merges neighbouring small ranges.
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("__part", F.spark_partition_id())
         .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )

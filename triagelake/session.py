@@ -54,6 +54,7 @@ def _local_folder(application: str) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Occupy all cores when a table comes in few large row groups; otherwise unchanged.
 
+    For scanned tables only (asking a shuffled frame for its partitions would run it).
     Tables with at least as many input partitions as cores are never shuffled by this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
