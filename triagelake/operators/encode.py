@@ -10,11 +10,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.cleaning import clean_claims, numeric_age
 from ..functions.vocabulary import FORM_ORDER, HIDDEN_ANSWERS
-from ..schema import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, require_exact_order
+from ..schema import CATEGORICAL_FEATURES, FEATURES, require_exact_order
 from ..session import stage
 from .ordering import global_rank, quantiles
 from .profile import long_values

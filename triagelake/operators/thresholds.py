@@ -6,10 +6,10 @@ import math
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.ratios import ratio, smoothed
-from .metrics import confusion_counts, evaluate, ranking_metrics, ratios_from_counts
+from .metrics import evaluate, ranking_metrics, ratios_from_counts
 
 # The search grid 0.10 … 0.90 in double steps, the plot grid and the
 # short list of the report. Grid points are doubles such as 0.23999999999999994 and

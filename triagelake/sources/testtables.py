@@ -24,6 +24,7 @@ CORE = {
     "claim_id": "o_orderkey", "label": LABEL, "score": SCORE, "age": AGE, "claim_weekday": WEEKDAY,
     "o_custkey": "o_custkey", "o_orderpriority": "o_orderpriority", "o_totalprice": "o_totalprice",
 }
+# Makes, categories and covers as spelled in the claims contract.
 MAKES = ["Accura", "BMW", "Chevrolet", "Dodge", "Ferrari", "Ford", "Honda", "Jaguar", "Lexus", "Mazda",
          "Mecedes", "Mercury", "Nisson", "Pontiac", "Porche", "Saab", "Saturn", "Toyota", "VW"]
 CATEGORIES = ["Sedan", "Sport", "Utility"]
