@@ -47,3 +47,15 @@ def letter_words(text: Column) -> Column:
 def blank_words(text: Column) -> Column:
     """Words between blanks."""
     return F.array_remove(F.split(text, BLANK), "")
+
+
+def places(text: Column, pattern: Column | str) -> Column:
+    """Array of (start, end) of all matches, leftmost and without overlap: the text is split at them."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    between = F.split(text, pattern, -1)
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    return F.aggregate(F.arrays_zip(F.transform(found, lambda m: F.length(m)).alias("m"),
+                                    F.slice(F.transform(between, lambda b: F.length(b)), 1, F.size(found)).alias("b")), none,
+                       lambda a, x: F.struct((a["at"] + x["b"] + x["m"]).alias("at"), F.concat(a["spans"], F.array(F.struct(
+                           (a["at"] + x["b"]).alias("start"), (a["at"] + x["b"] + x["m"]).alias("end")))).alias("spans")))["spans"]

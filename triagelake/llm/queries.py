@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, linededup, neardup, packing, quality
+from ..session import staging_folder
+from . import decontaminate, language, licenses, linededup, neardup, packing, quality, rans, secrets, shards
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +50,32 @@ def op6_decontamination(spark, folder):
 def op4_best_fit_packing(spark, folder):
     _, placed = packing.pack_documents(table(spark, folder, "documents"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op1_sharding(spark, folder):
+    return shards.assign_shards(table(spark, folder, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query
+def op3_license_scan(spark, folder):
+    return licenses.scan(table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op5_secret_scan(spark, folder):
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query
+def op7_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.train(docs))
+
+
+@query
+def op8_rans_token_files(spark, folder):
+    target = f"{staging_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    rans.write_files(rans.encode_ids(table(spark, folder, "documents")), target)
+    return rans.read_files(spark, target).select("doc_id", "start", "n_tokens", "ids_crc32")
