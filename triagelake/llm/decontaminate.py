@@ -23,6 +23,7 @@ from ..session import stage
 from .common import keyed, letter_words, packed
 
 WORDS = 10
+SLOTS = 1 << 20
 
 
 def phrases(benchmark: DataFrame, words: int = WORDS) -> DataFrame:
@@ -80,7 +81,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, slack: in
     rest = (pairs.join(slots.where("rank > 2").select("phrase", "offset", "term"), "phrase")
             .select("key", "phrase", "start", "term", "offset", shift.alias("shift"))
             .withColumn("position", F.col("start") + F.col("offset") + F.col("shift")))
-    near = index.join(pairs.select("key").distinct(), "key", "left_semi")
+    # Only documents with a pair matter: their hashed slots, of which there are SLOTS at most, sift the postings.
+    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS))
+    near = index.withColumn("slot", slot).join(F.broadcast(pairs.select(slot.alias("slot")).distinct()), "slot", "left_semi")
     others = (rest.join(near, ["key", "position", "term"]).groupBy("key", "phrase", "start", "offset").agg(F.min(F.abs("shift")).alias("away"))
               .groupBy("key", "phrase", "start").agg(F.count("*").alias("others"), F.max("away").alias("others_away")))
     single = starts.where("n = 1").select("key", "phrase", "n", "start", F.lit(1).cast("long").alias("found"), F.lit(0).alias("away"))
