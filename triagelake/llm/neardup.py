@@ -8,13 +8,14 @@ are fixed bijections of the ring. 128 coordinates in 32 bands of four make a pai
 
 1. Documents with equal sets fold into the one with the smallest id, so copies cost one row.
 2. Bands with two or more different sets keep their members; all else leaves.
-3. In a band the pairs whose signatures agree enough are found with array operations, in blocks
-   of bounded size (a larger bucket is cut into blocks and every pair of blocks is one task).
-   From each block only a spanning forest of its most similar pairs is passed on.
-4. Pairs are verified on full sets, links make components (smallest label by alternating
-   stars, every round written to shared storage).
-5. Pairs that step 3 left out because their ends seemed connected, but whose ends are in
-   different components now, are verified too, so no link between components is lost.
+3. In each bucket of a band every member is a candidate with the smallest fold. Candidates whose
+   signatures agree enough are verified on full sets; links make components (smallest label by
+   alternating stars, every round written to shared storage).
+4. Buckets of three or more that still hold several components are searched for the other pairs
+   with array operations, in blocks of bounded size (a larger bucket is cut into blocks and every
+   pair of blocks is one group): first a spanning forest of the most similar pairs of different
+   components is passed on and verified, then whatever pair still joins different components,
+   so no link between components is lost and no group emits all its pairs.
 
 Cases: null, empty and blank texts have no set, link with nothing and are kept; fewer than five
 words make one shingle of the whole sequence; rows that repeat a document share its result; a
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, BooleanType
+from pyspark.sql.types import BinaryType, BooleanType, IntegerType
 
 from ..session import stage
 from .common import packed
@@ -196,8 +197,22 @@ def _candidates(members: DataFrame, all_pairs: bool) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _alike(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures allow a link."""
+    side = lambda k: about.select(F.col("fold").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("signature").alias(f"signature_{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    sizes = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    return both.where(sizes).where(_agree("signature_a", "signature_b") >= LEAST_AGREE).select("a", "b")
+
+
 # ---- verification ---------------------------------------------------------------
 
+@F.pandas_udf(IntegerType())
+def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
+    x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, COORDINATES) for s in (a, b))
+    return pd.Series((x == y).sum(axis=1, dtype=np.int32))
+
+
 @F.pandas_udf(BinaryType())
 def _set_bytes(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: shingles(t).tobytes())
@@ -266,19 +281,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     about = folds.join(members.select("fold").distinct(), "fold", "left_semi").select("fold", "n_shingles", "signature")
     about = stage(about, "neardup-about")
 
-    first = stage(_candidates(members.join(about, "fold").withColumn("label", F.col("fold")), False), "neardup-pairs")
-    links = stage(_verify(first, _sets(docs, folds, first)), "neardup-links")
+    # Every member of a band bucket with the smallest fold there: one candidate per member.
+    centre = members.groupBy("band", "bucket").agg(F.min("fold").alias("a"))
+    tested = stage(_alike(members.join(centre, ["band", "bucket"]).where("fold <> a").select("a", F.col("fold").alias("b")).distinct(), about), "neardup-pairs")
+    links = stage(_verify(tested, _sets(docs, folds, tested)), "neardup-links")
     label = stage(components(links), "neardup-labels")
 
-    # What the forests left out: bands that still hold more than one component.
-    named = members.join(label.withColumnRenamed("node", "fold"), "fold", "left").withColumn("label", F.coalesce("label", "fold"))
-    mixed = named.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    rest = _candidates(named.join(mixed.select("band", "bucket"), ["band", "bucket"], "left_semi").join(about, "fold"), True)
-    rest = stage(rest.join(first, ["a", "b"], "left_anti"), "neardup-rest")
-    if rest.take(1):
+    # Larger buckets that still hold several components: most similar pairs first, then all that are left.
+    larger = members.where("n > 2")
+    for all_pairs in (False, True):
+        named = larger.join(label.withColumnRenamed("node", "fold"), "fold", "left").withColumn("label", F.coalesce("label", "fold"))
+        mixed = named.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        larger = stage(larger.join(mixed.select("band", "bucket"), ["band", "bucket"], "left_semi"), "neardup-mixed")
+        if not larger.take(1):
+            break
+        named = larger.join(label.withColumnRenamed("node", "fold"), "fold", "left").withColumn("label", F.coalesce("label", "fold"))
+        rest = stage(_candidates(named.join(about, "fold"), all_pairs).join(tested, ["a", "b"], "left_anti"), "neardup-pairs")
         more = stage(_verify(rest, _sets(docs, folds, rest)), "neardup-links")
+        tested = tested.unionByName(rest)
         if more.take(1):
-            label = stage(components(links.unionByName(more)), "neardup-labels")
+            links = links.unionByName(more)
+            label = stage(components(links), "neardup-labels")
 
     firsts = folds.select("fold", F.col("key").alias("own")).join(label.withColumnRenamed("node", "fold"), "fold", "left")
     firsts = firsts.withColumn("label", F.coalesce("label", "fold"))
