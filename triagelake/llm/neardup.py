@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType
 
@@ -172,13 +173,14 @@ def _forest(bits: np.ndarray, sizes: np.ndarray, label: np.ndarray, side: np.nda
 
 
 def _block_pairs(all_pairs: bool):
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("fold", kind="stable", ignore_index=True)
-        bits = np.frombuffer(b"".join(block["signature"]), np.uint16).reshape(len(block), COORDINATES)
-        label = pd.factorize(block["label"].map(bytes))[0]
-        found = _forest(bits, block["n_shingles"].to_numpy(), label, block["side"].to_numpy(), all_pairs)
-        left, right = [i for i, _ in found], [j for _, j in found]
-        return pd.DataFrame({"a": block["fold"].iloc[left].to_list(), "b": block["fold"].iloc[right].to_list()})
+    def run(block: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(block[c].to_pylist() for c in ("fold", "signature", "n_shingles", "label", "side"))))
+        folds, signatures, sizes, labels, sides = zip(*rows)
+        bits = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(rows), COORDINATES)
+        number: dict[bytes, int] = {}
+        label = np.array([number.setdefault(x, len(number)) for x in labels])
+        found = _forest(bits, np.array(sizes), label, np.array(sides), all_pairs)
+        return pa.table({"a": pa.array([folds[i] for i, _ in found], pa.binary()), "b": pa.array([folds[j] for _, j in found], pa.binary())})
 
     return run
 
@@ -193,7 +195,7 @@ def _candidates(members: DataFrame, all_pairs: bool) -> DataFrame:
     rows = members.withColumn("own", own).withColumn("met", F.explode(met)).select(
         "band", "bucket", "met", "fold", "n_shingles", "signature", "label",
         F.when(F.col("met.low") == F.col("met.high"), -1).when(F.col("met.low") == F.col("own"), 0).otherwise(1).alias("side"))
-    found = rows.groupBy("band", "bucket", "met").applyInPandas(_block_pairs(all_pairs), "a binary, b binary")
+    found = rows.groupBy("band", "bucket", "met").applyInArrow(_block_pairs(all_pairs), "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

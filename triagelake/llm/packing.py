@@ -60,9 +60,10 @@ def sum_of_squares(sizes: list[int], capacity: int) -> tuple[np.ndarray, np.ndar
     where, offsets = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
     for k, size in enumerate(sizes):
         now, then = count[size:capacity], count[:capacity - size]  # gap size.. becomes 0..; a gap of capacity is a new one
-        change = np.where(now > 0, then - now, capacity * len(sizes))
+        change = np.where(now > 0, 2 * (then - now) + 2, 4 * len(sizes) + 4)
+        change[:1] -= 1  # a full sequence is not counted where it arrives
         best = int(change.argmin()) if len(change) else 0
-        if len(change) and change[best] <= count[capacity - size]:
+        if len(change) and change[best] <= 2 * count[capacity - size] + 1:
             gap = best + size
             sequence = open_by_gap[gap].pop()
             count[gap] -= 1
