@@ -91,10 +91,11 @@ def _pack_group(level: int, capacity: int, last: bool):
 def pack(found: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """The columns of ``pieces`` (without ids) with sequence_id and offset; ``found`` should be a written table."""
     columns = ["doc_id", "tk", "piece", "start", "length", "ids_crc32"]
-    left, level, placed = found.select(*columns), 0, None
+    left, level, placed, groups = found.select(*columns), 0, None, None
     schema = ", ".join(f"{c} {t}" for c, t in left.dtypes) + ", pack bigint, sequence_id bigint, offset bigint, done boolean"
     while True:
-        groups = max(1, math.ceil(left.count() / group))
+        wanted = math.ceil(left.count() / group)
+        groups = max(1, wanted if groups is None else min(wanted, groups // 2))  # ever fewer, so rounds end
         dealt = left.withColumn("pack", F.pmod(F.xxhash64("doc_id", "tk", "piece", F.lit(level)), F.lit(groups)))
         done = stage(dealt.groupBy("pack").applyInPandas(_pack_group(level, length, groups == 1), schema), "packed")
         final = done.where("done").select(*columns, "sequence_id", "offset")
