@@ -45,7 +45,20 @@ def test_unseen_and_null_codes(spark):
     lists, big = encode.category_lists(train, ["c"])
     assert lists == {"c": ["Z", "a", "b"]} and not big
     test = spark.createDataFrame([("a",), ("new",), (None,)], "c string")
-    assert [r[0] for r in test.select(encode.inline_code(F.col("c"), lists["c"])).collect()] == [1, -1, None]
+    assert [r[0] for r in test.select(encode.inline_code(F.col("c"), lists["c"])).collect()] == [1, -1, -1]
+    assert test.select(encode.inline_code(F.col("c"), [])).distinct().collect() == [(-1,)]
+
+
+def test_null_categories_and_columns_without_values(spark):
+    rows = [(i, "ab"[i % 2] if i % 3 else None, None) for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, c string, x double")
+    for most in (10, 1):
+        fitted = encode.fit_preprocessor(df, ["c", "x"], ["c"], repair=False, inline_values=most)
+        codes = {r["id"]: r["c"] for r in fitted.encode(df).collect()}
+        assert all(codes[i] == (-1 if c is None else "ab".index(c)) for i, c, _ in rows)
+        assert fitted.deviation["x"] == 1.0 and fitted.mean["x"] == 0.0
+        listed = fitted.metadata()
+        assert "c" in listed["encoder_categories"] or listed["encoder_category_table"] == {"c": "codes"}
 
 
 def test_joined_codes_equal_inline_codes(spark):

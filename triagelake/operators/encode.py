@@ -72,24 +72,25 @@ class Preprocessor:
             "feature_order": list(self.features), "categorical_columns": list(self.categorical),
             "numeric_columns": self.numeric,
             "encoder_categories": {c: list(self.categories[c]) for c in self.categorical if c in self.categories},
+            # Lists too long to gather are rows of the table saved with the preprocessor.
+            "encoder_category_table": {c: "codes" for c in self.categorical if c not in self.categories},
             "age_fill_value": self.age_fill,
         }
 
 
 def inline_code(value: Column, categories: list[str]) -> Column:
-    """Position in the sorted list; unseen values give -1 and null stays null."""
+    """Position in the sorted list; unseen values and null give -1."""
     if not categories:
-        return F.when(value.isNotNull(), F.lit(UNSEEN))
+        return F.lit(UNSEEN)
     listed = F.array(*[F.lit(v) for v in categories])
-    return (F.array_position(listed, value) + F.lit(UNSEEN)).cast("int")
+    return (F.coalesce(F.array_position(listed, value), F.lit(0)) + F.lit(UNSEEN)).cast("int")
 
 
 def _join_codes(df: DataFrame, codes: DataFrame, name: str) -> DataFrame:
     """Code lookup by join; adaptive execution broadcasts it or splits hot keys by measured size."""
     table = codes.filter(F.col("feature") == name).select(
         F.col("value").alias(name), F.col("code").alias("__code"))
-    found = F.when(F.col(name).isNotNull(), F.coalesce("__code", F.lit(UNSEEN)))
-    return df.join(table, name, "left").withColumn(name, found).drop("__code")
+    return df.join(table, name, "left").withColumn(name, F.coalesce("__code", F.lit(UNSEEN))).drop("__code")
 
 
 def _distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -141,8 +142,10 @@ def scaler_parameters(encoded: DataFrame, features: list[str]) -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"), F.count("value").alias("n"))
 
 
-def _usable_deviation(mean: float, deviation: float, n: int) -> float:
+def _usable_deviation(mean: float | None, deviation: float | None, n: int) -> float:
     """A constant feature (up to rounding noise of its sum) is divided by 1."""
+    if deviation is None:  # no value at all in the training rows
+        return 1.0
     eps = 2.0 ** -52
     noise = n * eps * deviation ** 2 + (n * mean * eps) ** 2
     return 1.0 if deviation ** 2 <= noise else deviation
@@ -172,7 +175,7 @@ def fit_preprocessor(train: DataFrame, features: list[str] | None = None, catego
     base = Preprocessor(features, categorical, lists, age_fill=fill, large=table)
     stats = scaler_parameters(base.encode(rows), features).collect()  # one row per feature
     return Preprocessor(
-        features, categorical, lists, {r["feature"]: r["mean"] for r in stats},
+        features, categorical, lists, {r["feature"]: r["mean"] or 0.0 for r in stats},
         {r["feature"]: _usable_deviation(r["mean"], r["deviation"], r["n"]) for r in stats}, fill, table)
 
 

@@ -116,12 +116,16 @@ def registry(label: str, rows: int | None = None, seed: int = SEED,
     }
 
 
-def weighted_registry(label: str, weight: str, seed: int = SEED) -> dict[str, Callable[[], Estimator]]:
-    """Variants that weight positives instead of oversampling (see ``with_class_weight``)."""
+def weighted_registry(label: str, weight: str, seed: int = SEED, rows: float | None = None) -> dict[str, Callable[[], Estimator]]:
+    """Variants that weight positives instead of oversampling (see ``with_class_weight``).
+
+    ``rows`` is the summed weight, which turns a unit penalty into Spark's averaged one.
+    """
     common = {"featuresCol": "features", "labelCol": label, "weightCol": weight}
+    penalty = 1.0 / rows if rows else 0.0
     # Settings of the class-weighted models.
     return {
-        "Logistic Regression": lambda: LogisticRegression(**LOGISTIC, **common),
+        "Logistic Regression": lambda: LogisticRegression(regParam=penalty, standardization=False, **LOGISTIC, **common),
         "Decision Tree": lambda: DecisionTreeClassifier(maxDepth=8, seed=seed, **common),
         "Random Forest": lambda: RandomForestClassifier(numTrees=200, maxDepth=10, seed=seed, **DEEP, **common),
         "Gradient Boosting": lambda: GBTClassifier(

@@ -117,7 +117,7 @@ def locate_ranks(binned: DataFrame, ranks: Callable[[DataFrame], DataFrame], key
     totals = bin_totals(binned, group, {"n": F.count(F.lit(1)), "m": F.sum(value)})
     hits = _bins_with_ranks(totals, ranks).select(
         *group, "bin", "tie_bin", "n_before", "m_before", "n_total", "m_total", "wanted")
-    rows = binned.join(F.broadcast(hits), [*group, "bin", "tie_bin"])
+    rows = binned.join(hits, [*group, "bin", "tie_bin"])
     inner = W.partitionBy(*group, "bin", "tie_bin").orderBy(*key)
     found = (
         rows.withColumn("rank", F.col("n_before") + F.row_number().over(inner))
@@ -176,7 +176,7 @@ def _values_at_ranks(binned: DataFrame, ranks: Callable[[DataFrame], DataFrame],
     """Like ``locate_ranks`` for plain values: copies are counted before the shuffle, not sorted."""
     hits = _bins_with_ranks(bin_totals(binned, by, {"n": F.count(F.lit(1))}), ranks).select(
         *by, "bin", "tie_bin", "n_before", "n_total", "wanted")
-    values = binned.join(F.broadcast(hits), [*by, "bin", "tie_bin"]).groupBy(
+    values = binned.join(hits, [*by, "bin", "tie_bin"]).groupBy(
         *by, "bin", "tie_bin", "n_before", "n_total", "wanted", "key").agg(F.count(F.lit(1)).alias("c"))
     upto = F.col("n_before") + F.sum("c").over(W.partitionBy(*by, "bin", "tie_bin").orderBy("key"))
     covered = lambda r: (r > F.col("upto") - F.col("c")) & (r <= F.col("upto"))

@@ -82,7 +82,7 @@ def histogram_by_class(df: DataFrame, columns: list[str], label: str, bins: int
     span = span.select(*key, F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
     # One row per column and class.
-    placed = values.join(F.broadcast(span), key)
+    placed = values.join(span, key)
     width = F.col("hi") - F.col("lo")
     edge = lambda i: F.when(i == bins, F.col("hi")).otherwise(i * (width / bins) + F.col("lo"))
     raw = F.least(F.floor((F.col("value") - F.col("lo")) * (F.lit(float(bins)) / width)), F.lit(bins - 1)).cast("int")

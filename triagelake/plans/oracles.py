@@ -80,7 +80,7 @@ def code_parts(source: str, fit: str, columns: list[str]) -> list[str]:
         parts.append(f"v_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) - 1 AS k FROM "
                      f"(SELECT DISTINCT {c} FROM {fit} WHERE {c} IS NOT NULL))")
         joins += f" LEFT JOIN v_{c} ON b.{c} = v_{c}.v"
-        picks.append(f"CASE WHEN b.{c} IS NULL THEN NULL ELSE coalesce(v_{c}.k, -1) END AS {c}")
+        picks.append(f"coalesce(v_{c}.k, -1) AS {c}")
     return parts + [f"coded AS (SELECT b.* REPLACE ({', '.join(picks)}) FROM {source} b{joins})"]
 
 
