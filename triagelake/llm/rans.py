@@ -36,7 +36,7 @@ VOCABULARY, END = "byte_bpe_50k.json", 2
 SCALE = 22
 LANES = 4096
 BLOCK_IDS = 1 << 20
-RANGE_ROWS = 20_000
+RANGE_ROWS = 5_000
 LOW = np.uint64(1 << 31)
 
 
@@ -120,7 +120,7 @@ def encode_ids(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END) ->
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     dealt = rows.withColumn("range", where).repartition(ranges, "range").sortWithinPartitions("range", "doc_id", "tk")
-    return stage(dealt.mapInPandas(run, f"range int, doc_id {id_type}, tk bigint, ids binary"), "token-ids", ["range"])
+    return stage(dealt.mapInPandas(run, f"range int, doc_id {id_type}, tk bigint, ids binary"), "token-ids")
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
