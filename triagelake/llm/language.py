@@ -9,7 +9,8 @@ is solved on those vectors. Scoring is a product of the presence matrix of a bat
 landmarks' and one with the weights.
 
 The classifier is fitted on a bounded sample: of the learnable documents of each language the
-``SAMPLE`` with the smallest hashes (a fixed number, whatever the size of the table). Presence
+``SAMPLE`` with the smallest hashes (a fixed number, whatever the size of the table); a cut on
+the hash, from the approximate number of documents, leaves about ``SPARE`` times as many to rank. Presence
 is of whole texts, in training and in prediction.
 
 Cases: a null text or one without a letter is ``und`` with score 0; without any learnable
@@ -28,6 +29,7 @@ NGRAMS = (1, 2, 3, 4)
 SLOTS = 1 << 12
 LANDMARKS = 40
 SAMPLE = 400
+PLACES, SPARE = 1 << 62, 4
 RIDGE = 1e-2
 MOST_LANGUAGES = 200
 _BATCH = 512
@@ -91,15 +93,18 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Fit on at most ``sample`` documents of each language, None if there is nothing to learn from."""
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.rlike("text", F.lit(r"\p{L}")))
-    order = F.xxhash64(F.col("doc_id"), F.lit(7))
-    names = [r[0] for r in usable.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
+    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(PLACES))
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    # The rank limit runs before the shuffle as well, so a language sends a bounded number of rows of each task.
-    keys = usable.select("doc_id", "lang", order.alias("o")).withColumn(
-        "r", F.row_number().over(Window.partitionBy("lang").orderBy("o", "doc_id"))).where(F.col("r") <= sample)
+    # Below the cut lie about SPARE samples of each language, however large the table, so ranking them is a small job.
+    near = F.lit(False)
+    for lang, n in sizes:
+        near = near | ((F.col("lang") == lang) & (F.col("place") <= min(PLACES, SPARE * sample * PLACES // max(1, n))))
+    keys = usable.select("doc_id", "lang", place.alias("place")).where(near).distinct().withColumn(
+        "r", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))).where(F.col("r") <= sample)
     chosen = usable.join(F.broadcast(keys.select("doc_id").distinct()), "doc_id").select("doc_id", "lang", "text")
-    rows = chosen.dropDuplicates(["doc_id"]).orderBy("lang", F.xxhash64("doc_id", F.lit(7)), "doc_id").collect()
+    rows = chosen.dropDuplicates(["doc_id"]).orderBy("lang", place, "doc_id").collect()
     return Model([r["text"] for r in rows], [r["lang"] for r in rows]) if rows else None
 
 
