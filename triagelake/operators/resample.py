@@ -94,8 +94,11 @@ class Prepared:
 
 
 def prepare(df: DataFrame, label: str, row_id: str, features: list[str], categorical: list[str],
-            ratio: float = RATIO, seed: int = SEED, repair: bool = True) -> Prepared:
-    """Split, fit on training rows, transform all rows, oversample training rows only."""
+            ratio: float | None = RATIO, seed: int = SEED, repair: bool = True) -> Prepared:
+    """Split, fit on training rows, transform all rows, oversample training rows only.
+
+    Without a ratio nothing is oversampled and ``train`` holds the original rows.
+    """
     split = stratified_split(df.select(row_id, label, *features), label, row_id, seed=seed)
     # Fitting, resampling and model training read these rows many times over.
     split = stage(split, "split", ["split"])
@@ -103,11 +106,12 @@ def prepare(df: DataFrame, label: str, row_id: str, features: list[str], categor
     scaled = fitted.transform(split)
     part = lambda name: scaled.filter(F.col("split") == name).drop("split")
     train = part("train")
-    return Prepared(oversample(train, features, label, row_id, ratio, seed=seed), train,
+    more = train if ratio is None else oversample(train, features, label, row_id, ratio, seed=seed)
+    return Prepared(more, train,
                     part("validation"), part("test"), fitted, features, split)
 
 
-def prepare_claims(df: DataFrame, ratio: float = RATIO, seed: int = SEED, row_id: str = "PolicyNumber") -> Prepared:
+def prepare_claims(df: DataFrame, ratio: float | None = RATIO, seed: int = SEED, row_id: str = "PolicyNumber") -> Prepared:
     """Contract claims from raw rows to training frames."""
     require_training_columns(df)
     return prepare(df, TARGET, row_id, FEATURES, CATEGORICAL_FEATURES, ratio, seed)

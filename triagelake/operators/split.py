@@ -18,6 +18,7 @@ TEST_SIZE = 0.15
 SEED = 42
 # Hash prefixes serve as bins; the hash is uniform, so they are balanced.
 PREFIX_DIGITS = 3
+ROWS_PER_PREFIX = 4_000_000  # longer prefixes beyond it, so no bin to be sorted grows with the table
 
 
 def check_sizes(validation: float, test: float) -> None:
@@ -59,11 +60,12 @@ def _assign(df: DataFrame, label: str, key: str, seed: int, held_out: float, sec
     if not sizes:
         return df.withColumn(column, F.lit(names[-1]))
     cuts = class_cuts(sizes, held_out, second)
+    digits = max(PREFIX_DIGITS, math.ceil(math.log(max(sizes.values()) / ROWS_PER_PREFIX, 16)))
     per_class = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
     ranks = F.element_at(F.create_map(*[x for c, r in cuts.items() for x in (
         F.lit(c), F.array(*[F.lit(n).cast("long") for n in r]))]), F.col("label"))
     hashed = df.select(F.col(label).alias("label"), seeded_hash(seed, key).alias("h")).withColumns({
-        "bin": F.conv(F.substring("h", 1, PREFIX_DIGITS), 16, 10).cast("int"), "tie_bin": F.lit(0)})
+        "bin": F.conv(F.substring("h", 1, digits), 16, 10).cast("int"), "tie_bin": F.lit(0)})
     found = locate_ranks(hashed, lambda t: t.withColumn("wanted", F.array_distinct(ranks)), ["h"], ["label"]).collect()
     border = {(r["label"], r["rank"]): r["h"] for r in found}  # two rows per class
     part, h = F.lit(names[-1]), seeded_hash(seed, key)

@@ -43,7 +43,8 @@ def score_claims(df: DataFrame, fitted: Preprocessor, model: Transformer, source
     """Claims to ranked queue. A label column is allowed and never read."""
     reference = reference if reference in df.columns else None
     keep = list(dict.fromkeys([source_row] + ([reference] if reference else [])))
-    return investigation_queue(probabilities(df, fitted, model, keep), models.SCORE, source_row, reference)
+    scores = stage(probabilities(df, fitted, model, keep), "scores")  # ranking samples its input first
+    return investigation_queue(scores, models.SCORE, source_row, reference)
 
 
 @dataclass(frozen=True)

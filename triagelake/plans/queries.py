@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import cleaning, policy
@@ -649,11 +648,9 @@ for _name in models.MODEL_NAMES:
 
 @query
 def weighted_benchmark(spark, folder):
-    """Class weights instead of oversampling, logistic regression and decision tree."""
-    prepared = resample.prepare_claims(tt.contract_claims(spark, folder))
-    plain = resample.Prepared(prepared.train_original, prepared.train_original, prepared.validation, prepared.test,
-                              prepared.preprocessor, prepared.features, prepared.raw)
-    return models.run_benchmark(plain, TARGET, "PolicyNumber", ["Logistic Regression", "Decision Tree"], weight="weight",
+    """All models with class weights instead of oversampling."""
+    prepared = resample.prepare_claims(tt.contract_claims(spark, folder), ratio=None)
+    return models.run_benchmark(prepared, TARGET, "PolicyNumber", weight="weight",
                                 factories=models.weighted_registry(TARGET, "weight"))
 
 
@@ -667,36 +664,37 @@ def network_candidate(spark, folder):
 
 @query
 def network_search(spark, folder):
-    """Staged search with two short stages; test rows are read once at the end."""
-    prepared = resample.prepare_claims(tt.contract_claims(spark, folder))
-    first = lambda _: [models.Candidate("ratio015", (16,), 0.15, 5.0, 30), models.Candidate("ratio025", (16,), 0.25, 5.0, 30)]
-    second = lambda best: [models.Candidate("wider", (32, 16), best.smote_ratio, best.fraud_class_weight, 30)]
-    search = jobs.staged_search(prepared.train_original, prepared.validation, FEATURES, TARGET, "PolicyNumber",
-                                [first, second])
+    """The default search of three stages; test rows are read once at the end."""
+    prepared = resample.prepare_claims(tt.contract_claims(spark, folder), ratio=None)
+    search = jobs.staged_search(prepared.train, prepared.validation, FEATURES, TARGET, "PolicyNumber")
     return jobs.evaluate_winner_once(search, prepared.test, FEATURES, TARGET, "PolicyNumber")
 
 
-def _small_boost():
-    return GBTClassifier(featuresCol="features", labelCol=TARGET, maxIter=10, stepSize=0.1, maxDepth=3, seed=split.SEED)
+_BUNDLES: dict[tuple[str, str], str] = {}
+
+
+def _bundle(spark, folder):
+    """The stored bundle of a folder's claims, fitted once per application and loaded from its files."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUNDLES:
+        path = scratch(spark, "bundle")
+        jobs.build_bundle(tt.contract_claims(spark, folder), path)
+        _BUNDLES[key] = path
+    return jobs.load_bundle(spark, _BUNDLES[key])
 
 
 @query
 def batch_scoring(spark, folder):
     """Bundle built on training rows, stored, reloaded and applied to all claims as a ranked queue."""
-    claims = tt.contract_claims(spark, folder)
-    path = scratch(spark, "bundle")
-    jobs.build_bundle(claims, path, estimator=_small_boost)
-    bundle = jobs.load_bundle(spark, path)
-    return jobs.score_claims(claims.drop(TARGET), bundle.fitted, bundle.model, "PolicyNumber")
+    bundle = _bundle(spark, folder)
+    return jobs.score_claims(tt.contract_claims(spark, folder).drop(TARGET), bundle.fitted, bundle.model, "PolicyNumber")
 
 
 @query
 def capacity_report(spark, folder):
     """Scores of a stored bundle on test rows, reported as gains and read back from the files."""
-    claims = tt.contract_claims(spark, folder)
-    path = scratch(spark, "bundle")
-    bundle = jobs.build_bundle(claims, path, estimator=_small_boost)
-    test = split.stratified_split(claims, TARGET, "PolicyNumber").filter(F.col("split") == "test")
+    bundle = _bundle(spark, folder)
+    test = split.stratified_split(tt.contract_claims(spark, folder), TARGET, "PolicyNumber").filter(F.col("split") == "test")
     scored = jobs.probabilities(test, bundle.fitted, bundle.model, ["PolicyNumber", TARGET])
     out = scratch(spark, "capacity")
     made = jobs.capacity_report(scored, models.SCORE, TARGET, "PolicyNumber", out)
@@ -706,6 +704,4 @@ def capacity_report(spark, folder):
 @query
 def bundle_build(spark, folder):
     """Parameter table of a stored and reloaded bundle."""
-    path = scratch(spark, "bundle")
-    jobs.build_bundle(tt.contract_claims(spark, folder), path, estimator=_small_boost)
-    return tables.parameter_table(spark, jobs.load_bundle(spark, path).fitted)
+    return tables.parameter_table(spark, _bundle(spark, folder).fitted)
