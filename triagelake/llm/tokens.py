@@ -2,22 +2,28 @@
 
 Both vocabularies split texts before merging bytes and never merge across a split, so ids of a
 text are those of its blank-separated parts in order. Parts repeat; each worker remembers the
-ids of the parts it has seen (a bounded number). Texts with blanks other than single spaces and
+ids of the parts it has seen (a bounded number) and encodes the new ones of some texts in one
+call, cut at the tokens that stand between parts. Texts with blanks other than single spaces and
 line feeds go through the tokenizer whole where that matters.
 """
 
 from __future__ import annotations
 
+import os
 import re
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 MOST_PARTS = 800_000
+#: Characters of texts that are split at a time.
+SPLIT_CHARS = 4_000_000
+PARTS_PER_CALL = 2_000
 _OTHER_BLANKS = re.compile(r"[^\S \n]")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
+_MARK = "~"  # one token; stands between parts where blanks leave no token
 _CODERS: dict[str, Coder] = {}
 
 
@@ -25,25 +31,61 @@ class Coder:
     """Ids of texts for one vocabulary file of the tokenizers library."""
 
     def __init__(self, name: str):
+        # Spark already runs one worker per core; threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True
         self.drops_blanks = name.startswith("word_")
-        self.lead = "" if self.drops_blanks else " "  # what a part that follows a space is encoded with
         self.inner: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], parts: set[str], lead: str) -> None:
-        new = [x for x in parts if x not in known]
-        if len(known) + len(new) > MOST_PARTS:
-            known.clear()
-            new = list(parts)
-        for at in range(0, len(new), 2000):
-            some = new[at:at + 2000]
-            texts = [x if x[:1] == "\n" else lead + x for x in some]
-            for x, e in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-                known[x] = array("I", e.ids).tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.first: dict[str, bytes] = self.inner if self.drops_blanks else {}
+        # Tokens that begin a part: with a blank in byte-level vocabularies, the mark before each part in the other.
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.drops_blanks:
+            mark = self._ids(_MARK)
+            self.begins[mark[0]] = len(mark) == 1
+        else:
+            for token, k in self.tokenizer.get_vocab().items():
+                self.begins[k] = token[0] in "\u0120\u010a"  # space and line feed in the byte alphabet
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _alone(self, part: str) -> bytes:
+        return self._ids(part if self.drops_blanks or part[:1] == "\n" else " " + part).tobytes()
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part; one by one if the tokens between them do not tell the parts apart."""
+        if self.drops_blanks:
+            text = "".join([f"{_MARK} {x} " for x in parts])
+        else:
+            text = "".join([x if x[:1] == "\n" else " " + x for x in parts])
+        ids = self._ids(text)
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(parts) or at[0] != 0:
+            half = len(parts) // 2
+            return self._together(parts[:half]) + self._together(parts[half:]) if half else [self._alone(parts[0])]
+        raw, skip = ids.tobytes(), 4 * self.drops_blanks
+        cuts = [*(4 * at).tolist(), len(raw)]
+        return [raw[a + skip:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, parts: set[str]) -> None:
+        new = parts.difference(self.inner)
+        if len(self.inner) + len(new) > MOST_PARTS:
+            self.inner.clear()
+            new = parts
+        new = list(new)
+        for at in range(0, len(new), PARTS_PER_CALL):
+            some = new[at:at + PARTS_PER_CALL]
+            self.inner.update(zip(some, self._together(some)))
+
+    def _first(self, part: str) -> bytes:
+        if len(self.first) > MOST_PARTS:
+            self.first.clear()
+        if part not in self.first:
+            self.first[part] = self._ids(part).tobytes()
+        return self.first[part]
+
+    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = []
         for text in texts:
             if self.drops_blanks:
@@ -52,14 +94,26 @@ class Coder:
                 split.append(None)
             else:
                 split.append(text.replace("\n", " \n").split(" "))
-        seen: set[str] = set()
-        for parts in split:
-            seen.update(parts[1:] if parts else ())
-        self._learn(self.inner, seen, self.lead)
-        self._learn(self.first, {text if parts is None else parts[0] for text, parts in zip(texts, split)}, "")
-        inner, first = self.inner.__getitem__, self.first.__getitem__
-        return [np.frombuffer(first(text) if parts is None else b"".join([first(parts[0]), *map(inner, parts[1:])]), np.uint32)
-                for text, parts in zip(texts, split)]
+        self._learn(set().union(*[parts if self.drops_blanks else parts[1:] for parts in split if parts]))
+        inner = self.inner.__getitem__
+        for text, parts in zip(texts, split):
+            if parts is None:
+                yield self._ids(text)
+            elif self.drops_blanks:
+                yield np.frombuffer(b"".join(map(inner, parts)), np.uint32)
+            else:
+                yield np.frombuffer(self._first(parts[0]) + b"".join(map(inner, parts[1:])), np.uint32)
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text in turn; only some texts are split at a time."""
+        some, chars = [], 0
+        for text in texts:
+            some.append(text)
+            chars += len(text)
+            if chars >= SPLIT_CHARS:
+                yield from self._encode(some)
+                some, chars = [], 0
+        yield from self._encode(some)
 
 
 def coder(name: str) -> Coder:
