@@ -253,18 +253,35 @@ def components(links: DataFrame) -> DataFrame:
     (large star), then its smaller ones (small star), until nothing changes.
     """
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, both).where("w > m").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
         small = _star(large, large).select(F.explode(F.array(F.struct(F.col("w").alias("u"), F.col("m").alias("v")),
                                                             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e"))
         new = stage(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
-        # Stars are final once every node has one edge and no centre is itself below another.
-        if new.count() == edges.count() and not new.join(edges, ["u", "v"], "left_anti").take(1):
+        # Stars are final once a round changes no edge.
+        state, before = _state(new), state
+        if state == before:
             return new.select(F.col("u").alias("node"), F.col("v").alias("label"))
         edges = new
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Number of edges and sum of their hashes: two sets of edges that agree in both are taken as equal."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+
+def _merge(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` after further links (a, b): only the components that they join are searched again."""
+    named = lambda k: label.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}"))
+    both = links.join(named("a"), "a", "left").join(named("b"), "b", "left")
+    above = components(both.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")))
+    over = above.select(F.col("node").alias("label"), F.col("label").alias("over"))
+    # A smallest node is no row of ``label``, so the rows of ``above`` are new ones.
+    return label.join(over, "label", "left").select("node", F.coalesce("over", "label").alias("label")).unionByName(above)
+
+
 def _star(edges: DataFrame, sides: DataFrame) -> DataFrame:
     """u, each neighbour w of u, and m, the smallest of u and its neighbours."""
     least = edges.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
@@ -302,8 +319,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = stage(_verify(rest, _sets(docs, folds, rest)), "neardup-links")
         tested = tested.unionByName(rest)
         if more.take(1):
-            links = links.unionByName(more)
-            label = stage(components(links), "neardup-labels")
+            label = stage(_merge(label, more), "neardup-labels")
 
     firsts = folds.select("fold", F.col("key").alias("own")).join(label.withColumnRenamed("node", "fold"), "fold", "left")
     firsts = firsts.withColumn("label", F.coalesce("label", "fold"))
