@@ -17,9 +17,10 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-MOST_PARTS = 800_000
+#: Parts in one generation of a worker's memory; the generation before is kept beside it.
+MOST_PARTS = 250_000
 #: Characters of texts that are split at a time.
-SPLIT_CHARS = 4_000_000
+SPLIT_CHARS = 1_000_000
 PARTS_PER_CALL = 2_000
 _OTHER_BLANKS = re.compile(r"[^\S \n]")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
@@ -37,7 +38,7 @@ class Coder:
         self.tokenizer.encode_special_tokens = True
         self.drops_blanks = name.startswith("word_")
         self.inner: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = self.inner if self.drops_blanks else {}
+        self.older: dict[str, bytes] = {}
         # Tokens that begin a part: with a blank in byte-level vocabularies, the mark before each part in the other.
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if self.drops_blanks:
@@ -69,22 +70,17 @@ class Coder:
         return [raw[a + skip:b] for a, b in zip(cuts, cuts[1:])]
 
     def _learn(self, parts: set[str]) -> None:
+        """Puts all of ``parts`` into the young generation, from the old one where it has them."""
+        if len(self.inner) > MOST_PARTS:
+            self.older, self.inner = self.inner, {}
         new = parts.difference(self.inner)
-        if len(self.inner) + len(new) > MOST_PARTS:
-            self.inner.clear()
-            new = parts
-        new = list(new)
+        known = self.older.keys() & new if self.older else ()
+        self.inner.update((x, self.older[x]) for x in known)
+        new = list(new.difference(known))
         for at in range(0, len(new), PARTS_PER_CALL):
             some = new[at:at + PARTS_PER_CALL]
             self.inner.update(zip(some, self._together(some)))
 
-    def _first(self, part: str) -> bytes:
-        if len(self.first) > MOST_PARTS:
-            self.first.clear()
-        if part not in self.first:
-            self.first[part] = self._ids(part).tobytes()
-        return self.first[part]
-
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = []
         for text in texts:
@@ -102,7 +98,7 @@ class Coder:
             elif self.drops_blanks:
                 yield np.frombuffer(b"".join(map(inner, parts)), np.uint32)
             else:
-                yield np.frombuffer(self._first(parts[0]) + b"".join(map(inner, parts[1:])), np.uint32)
+                yield np.frombuffer(self._ids(parts[0]).tobytes() + b"".join(map(inner, parts[1:])), np.uint32)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text in turn; only some texts are split at a time."""
