@@ -190,3 +190,14 @@ def test_pipeline_stages_keep_columns(spark):
         assert docs.columns == columns and 0 < docs.count() <= before
         before = docs.count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).select("doc_id").distinct().count() == before
+
+
+@pytest.mark.parametrize("vocabulary", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_parts_give_the_ids_of_whole_texts(vocabulary, monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_PARTS", 5)
+    monkeypatch.setattr(tokens, "SPLIT_CHARS", 30)
+    texts = ["", " ", "plain words and plain words", "a ~ b~c ~~ ~", "don't  stop's", "a\n\nb", "one\ntwo three\nfour", " lead", "tail ",
+             "tab\there", "été é ́x", "<|endoftext|> x", "日本語 text", "plain words again ~", "Ġ Ċ"] * 2
+    coder = tokens.Coder(vocabulary)
+    whole = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in coder.encode(texts)] == whole
