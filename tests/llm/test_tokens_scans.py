@@ -66,6 +66,25 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs_of(spark, texts).limit(0))[1].count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(1100, 2000), (400, 1400), (1, 2048)])
+def test_packing_groups_stay_bounded(spark, sizes):
+    lengths = [random.Random(k).randint(*sizes) for k in range(3000)]
+    rows = [(k, k, 0, 0, n, 0) for k, n in enumerate(lengths)]
+    found = packing.stage(spark.createDataFrame(rows, "doc_id long, tk long, piece int, start long, length long, ids_crc32 long"), "lengths")
+    rows = packing.pack(found, group=200).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(3000))
+    by, groups = {}, {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        groups[r["sequence_id"] >> 28] = groups.get(r["sequence_id"] >> 28, 0) + 1
+    assert max(groups.values()) <= 2 * 200
+    for parts in by.values():
+        ends = [a + n for a, n in sorted(parts)]
+        assert [0, *ends[:-1]] == [a for a, _ in sorted(parts)] and ends[-1] <= 2048
+    whole = len(packing.sum_of_squares(sorted(lengths, reverse=True), 2048)[2])
+    assert len(by) <= 1.1 * whole
+
+
 def test_rans_round_trip_and_damage():
     rng = np.random.default_rng(3)
     ids = (rng.zipf(1.3, 5000) % 3000).astype(np.uint32)

@@ -4,13 +4,17 @@ A piece goes where the sum over all gaps of the squared number of open sequences
 becomes smallest: into an open sequence with some gap or into a new one; equal choices take the
 smallest gap. Only gap counts decide, so one placement costs one pass over an array.
 
-Pieces are dealt by hash to groups of about ``GROUP`` pieces, each packed largest first.
-Sequences that are full are final; the pieces of all others go to the next round, in which far
-fewer groups pack them again, until one group holds the rest. Rounds are written to shared
-storage, so nothing is recomputed after a loss; no task holds more than a group.
+Pieces are dealt by hash, so with lengths mixed, to groups of about ``GROUP`` pieces, each packed
+largest first. A sequence is final when no open sequence left in any group fits its gap. The
+others go on whole: the next round deals them to groups of as many pieces and packs them like
+pieces of their size. Rounds end when one group holds the rest, or when a round leaves more
+than ``SHRINK`` of its pieces open; its sequences are then final as its groups packed them, at
+the price of a partial set per group. Rounds are written to shared storage, so nothing is
+recomputed after a loss; the size of a group does not grow with the table.
 
 Cases: a null or empty text is the end id alone; only documents longer than a sequence are cut;
-rows that repeat a document are packed each by itself; an empty table gives no sequences.
+rows that repeat a document are packed each by itself, but exact repeats of a row (id and text)
+share a group; an empty table gives no sequences.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from .tokens import coder
 
 LENGTH = 2048
 GROUP = 50_000
+SHRINK = 0.75
 VOCABULARY, END = "word_bpe_49k.json", 0
 
 
@@ -78,31 +83,46 @@ def sum_of_squares(sizes: list[int], capacity: int) -> tuple[np.ndarray, np.ndar
     return where, offsets, np.array(gaps, np.int64)
 
 
-def _pack_group(level: int, capacity: int, last: bool):
+def _pack_group(level: int, capacity: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "tk", "doc_id", "piece"], ascending=[False, True, True, True], ignore_index=True)
-        where, offsets, gaps = sum_of_squares(group["length"].tolist(), capacity)
+        if level == 0:  # every piece is a block of its own, later an open sequence is one
+            group = group.sort_values(["length", "tk", "doc_id", "piece"], ascending=[False, True, True, True], ignore_index=True)
+            block, sizes, order = np.arange(len(group)), group["length"].to_numpy(), np.arange(len(group))
+        else:
+            block = np.unique(group["sequence_id"], return_inverse=True)[1]
+            sizes = np.bincount(block, weights=group["length"]).astype(np.int64)
+            order = np.argsort(-sizes, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        where, offsets, gaps = sum_of_squares(sizes[order].tolist(), capacity)
         number = (level << 54) + (int(group["pack"].iloc[0]) << 28) if len(group) else 0
-        return group.assign(sequence_id=where + number, offset=offsets, done=last | (gaps[where] == 0))
+        at = place[block]
+        return group.assign(sequence_id=where[at] + number, offset=group["offset"] + offsets[at], gap=gaps[where[at]])
 
     return run
 
 
 def pack(found: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """The columns of ``pieces`` (without ids) with sequence_id and offset; ``found`` should be a written table."""
-    columns = ["doc_id", "tk", "piece", "start", "length", "ids_crc32"]
-    left, level, placed, groups = found.select(*columns), 0, None, None
-    schema = ", ".join(f"{c} {t}" for c, t in left.dtypes) + ", pack bigint, sequence_id bigint, offset bigint, done boolean"
+    columns = ["doc_id", "tk", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    none = F.lit(0).cast("bigint")
+    left, level, placed = found.select(*columns[:6], none.alias("sequence_id"), none.alias("offset")), 0, None
+    schema = ", ".join(f"{c} {t}" for c, t in left.dtypes) + ", pack bigint, gap bigint"
+    n = left.count()
     while True:
-        wanted = math.ceil(left.count() / group)
-        groups = max(1, wanted if groups is None else min(wanted, groups // 2))  # ever fewer, so rounds end
-        dealt = left.withColumn("pack", F.pmod(F.xxhash64("doc_id", "tk", "piece", F.lit(level)), F.lit(groups)))
-        done = stage(dealt.groupBy("pack").applyInPandas(_pack_group(level, length, groups == 1), schema), "packed")
-        final = done.where("done").select(*columns, "sequence_id", "offset")
+        groups = max(1, math.ceil(n / group))
+        block = F.xxhash64(*(["sequence_id"] if level else ["doc_id", "tk", "piece"]), F.lit(level))
+        dealt = left.withColumn("pack", F.pmod(block, F.lit(groups)))
+        done = stage(dealt.groupBy("pack").applyInPandas(_pack_group(level, length), schema), "packed")
+        smallest = done.where("gap > 0").agg(F.min(length - F.col("gap"))).first()[0]
+        ends = (F.col("gap") == 0) | (F.col("gap") < F.lit(smallest))  # nothing left fits
+        before, n = n, 0 if smallest is None else done.where(~ends).count()
+        last = groups == 1 or n == 0 or n > SHRINK * before
+        final = (done if last else done.where(ends)).select(*columns)
         placed = final if placed is None else placed.unionByName(final)
-        if groups == 1:
+        if last:
             return placed
-        left, level = done.where("NOT done").select(*columns), level + 1
+        left, level = done.where(~ends).select(*columns), level + 1
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
