@@ -7,8 +7,10 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from triagelake.llm import language, licenses, packing, rans, secrets, shards, tokens
 from triagelake.llm.common import table
@@ -22,13 +24,16 @@ def docs_of(spark, texts, ids=None):
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_ids_equal_the_tokenizer_on_whole_texts(name):
+@pytest.mark.parametrize("special", [True, False])
+def test_ids_equal_the_tokenizer_on_whole_texts(name, special):
     rng = random.Random(1)
-    parts = ["a", "B", "é", "é", " ", "\n", "\t", "  ", "'s", "1", "!!", "\x1c", " ", "ß", "ΑΣ", "<|endoftext|>", "漢", "\r\n"]
+    parts = ["a", "B", "é", "é", " ", "\n", "\t", "  ", "'s", "1", "!!", "\x1c", " ", "ß", "ΑΣ", "<|endoftext|>", "<|startoftext|>", "<|", "漢", "\r\n"]
     texts = ["", " ", "\n"] + ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(500)]
-    coder = tokens.coder(name)
-    expected = coder.tokenizer.encode_batch(texts, add_special_tokens=False)
-    assert [x.tolist() for x in coder.encode(texts)] == [e.ids for e in expected]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    if not special:
+        library.encode_special_tokens = True
+    expected = library.encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in tokens.Coder(name, special).encode(texts)] == [e.ids for e in expected]
 
 
 def test_sum_of_squares_by_definition():

@@ -7,6 +7,11 @@ one result), and a null id is an ordinary value that sorts first.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Characters between words, for the contracts on letters-and-digits words (ASCII lower-cased).
@@ -59,3 +64,14 @@ def places(text: Column, pattern: Column | str) -> Column:
                                     F.slice(F.transform(between, lambda b: F.length(b)), 1, F.size(found)).alias("b")), none,
                        lambda a, x: F.struct((a["at"] + x["b"] + x["m"]).alias("at"), F.concat(a["spans"], F.array(F.struct(
                            (a["at"] + x["b"]).alias("start"), (a["at"] + x["b"] + x["m"]).alias("end")))).alias("spans")))["spans"]
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches in smaller ones of about ``most`` bytes of a string or binary column."""
+    for batch in batches:
+        sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(sizes):
+            until = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, until - at)
+            at = until

@@ -136,3 +136,32 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(w.n, 0)::BIGINT AS n_hit,
   sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(w.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words w ON d.doc_id = w.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id
 """
+
+ORACLES["op13_ranked_search"] = """
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents
+), worded AS (
+  SELECT doc_id, r, ws, len(ws)::BIGINT AS n FROM words WHERE len(ws) > 0
+), corpus AS (
+  SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS l FROM worded
+), tf AS (
+  SELECT doc_id, r, n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, r, n, unnest(ws) AS t FROM worded) GROUP BY ALL
+), df AS (
+  SELECT t, count(*)::BIGINT AS df FROM tf GROUP BY t
+), weight AS (
+  SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, corpus
+), item AS (
+  SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS t FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // l))))::BIGINT AS score
+  FROM item JOIN tf USING (t) JOIN weight USING (t), corpus GROUP BY item_id, doc_id, r
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import staging_folder
-from . import decontaminate, language, licenses, linededup, neardup, packing, quality, rans, secrets, shards
+from . import alignment, bpe, decontaminate, language, licenses, linededup, neardup, packing, quality, ranking, rans, secrets, shards
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,25 @@ def op8_rans_token_files(spark, folder):
     target = f"{staging_folder(spark)}/token-files-{uuid.uuid4().hex}"
     rans.write_files(rans.encode_ids(table(spark, folder, "documents")), target)
     return rans.read_files(spark, target).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op11_tokenizer_alignment(spark, folder):
+    rows = alignment.align(table(spark, folder, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    done = alignment.link_counts(rows.withColumn("groups_sha256", digest).drop("groups"))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_byte_bpe(spark, folder):
+    ids = bpe.encode(table(spark, folder, "documents")).select("doc_id", "ids", bpe.decode("ids").alias("decoded"))
+    digits = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits.cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_ranked_search(spark, folder):
+    found = ranking.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")

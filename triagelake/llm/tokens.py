@@ -29,13 +29,18 @@ _CODERS: dict[str, Coder] = {}
 
 
 class Coder:
-    """Ids of texts for one vocabulary file of the tokenizers library."""
+    """Ids of texts for one vocabulary file of the tokenizers library.
 
-    def __init__(self, name: str):
+    ``special``: strings of special tokens in a text are those tokens, as in the library's default; else ordinary text.
+    """
+
+    def __init__(self, name: str, special: bool = True):
         # Spark already runs one worker per core; threads of the library would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.special = re.compile("|".join(map(re.escape, names))) if names else None
         self.drops_blanks = name.startswith("word_")
         self.inner: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -84,7 +89,9 @@ class Coder:
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = []
         for text in texts:
-            if self.drops_blanks:
+            if self.special and self.special.search(text):  # a special token may stand inside a part
+                split.append(None)
+            elif self.drops_blanks:
                 split.append(text.replace("\n", " ").split(" "))
             elif any(x in text for x in _RUNS) or _OTHER_BLANKS.search(text):
                 split.append(None)
