@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,40 +47,49 @@ PATTERN = public_tokenizers.PATTERN
 CHUNK = 1 << 15
 OVERLAP = 512
 LOOK = 3
-#: Pre-tokens a worker remembers in each of two generations, and their largest length.
-MOST_PARTS, LONGEST_PART = 100_000, 48
+#: The library's own splitter needs stack for each blank of a run; it has failed beyond 300,000 of them.
+MOST_BLANKS = 10_000
+
+
+def byte_alphabet() -> dict[str, int]:
+    """Character of each byte in byte-level vocabularies: itself where it prints, else the next free one from 256."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(prints)]
+    return {chr(b): b for b in prints} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+@functools.cache
+def ranks(name: str) -> dict[bytes, int]:
+    """Token bytes and ids of a file of ranks, or of a byte-level file whose ids follow its merges, special tokens left out."""
+    if name.endswith(".json"):
+        with open(public_tokenizers.path(name), encoding="utf-8") as file:
+            found = json.load(file)
+        byte, model = byte_alphabet(), found["model"]
+        special = {t["content"] for t in found["added_tokens"]}
+        out = {bytes(byte[c] for c in token): k for token, k in model["vocab"].items() if token not in special}
+        merged = [out[bytes(byte[c] for c in "".join(m if isinstance(m, list) else m.split(" ")))] for m in model["merges"]]
+        if merged != sorted(merged):
+            raise ValueError(f"{name}: ids do not follow the merges")
+        return out
+    with open(public_tokenizers.path(name), "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
 class Coder:
-    """Ids of pre-tokens and bytes of ids for one file of ranks."""
+    """Ids and pre-token borders of pieces of text for one vocabulary file."""
 
     def __init__(self, name: str, pattern: str):
-        with open(public_tokenizers.path(name), "rb") as file:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        # The pattern of the library's own splitter takes everything: it gets one pre-token at a time.
-        self.encoding = tiktoken.Encoding(name, pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.library = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks(name), special_tokens={})
+        # Takes everything: it gets one pre-token at a time.
+        self.single = tiktoken.Encoding(name, pat_str=r"[\s\S]+", mergeable_ranks=ranks(name), special_tokens={})
         self.pattern = regex.compile(pattern)
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.inner: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        found = self.older.get(part)
-        if found is None:
-            found = np.array(self.encoding.encode_ordinary(part), "<i4").tobytes()
-        if len(part) <= LONGEST_PART:
-            if len(self.inner) >= MOST_PARTS:
-                self.older, self.inner = self.inner, {}
-            self.inner[part] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text, 32 bits each, little-endian."""
-        known = self.inner.get
-        return b"".join([known(part) or self._part(part) for part in self.pattern.findall(text)])
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        self.blanks = regex.compile(rf"\s{{{MOST_BLANKS}}}")
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text."""
+        if len(text) > MOST_BLANKS and self.blanks.search(text):
+            return np.concatenate([self.single.encode_to_numpy(part) for part in self.pattern.findall(text)])
+        return self.library.encode_to_numpy(text)
 
     def borders(self, window: str, last: bool) -> np.ndarray:
         """Beginnings of pre-tokens that neither the text behind the window nor a cut there can move."""
@@ -101,8 +111,8 @@ def _encoded(vocabulary: str, pattern: str, kept: list[str]):
         encode = coder(vocabulary, pattern).encode
         for batch in portions(batches, "text"):
             ids = [encode(text) for text in batch["text"].to_pylist()]
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), lists], names=[*kept, "ids"])
 
     return run
@@ -180,12 +190,17 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
     return short.unionByName(joined.select("doc_id", "tk", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids")))
 
 
-def decode(ids: Column | str, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> Column:
+@functools.cache
+def tokens(name: str) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks(name).items()}
+
+
+def decode(ids: Column | str, vocabulary: str = VOCABULARY) -> Column:
     """The bytes that an array of ids stands for."""
 
     @F.arrow_udf("binary")
     def run(lists: pa.Array) -> pa.Array:
-        bytes_of = coder(vocabulary, pattern).decode
-        return pa.array([bytes_of(x.as_py()) if x.is_valid else None for x in lists], pa.binary())
+        token = tokens(vocabulary).__getitem__
+        return pa.array([b"".join(map(token, x.values.to_pylist())) if x.is_valid else None for x in lists], pa.binary())
 
     return run(ids)
