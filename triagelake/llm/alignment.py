@@ -2,8 +2,8 @@
 
 Tokens of A and B are put in groups: the smallest stretches of tokens that cover the same bytes.
 The two sorted arrays of token ends are compared at the current index shift (B place less A
-place) over stretches that double in length while they agree and halve when they do not, so long
-one-to-one stretches cost a few comparisons. Where the ends differ, the group is resolved
+place) over stretches that double in length while they agree and halve when they do not, down to
+a few tokens, so long one-to-one stretches cost a few comparisons. Where the ends differ, the group is resolved
 locally (the side that is behind advances until both end together) and the shift is updated.
 
 A link is a pair of token occurrences, one of A and one of B, in one group. An id pair's count
@@ -13,7 +13,8 @@ block. These rows are summed over the corpus, joined with the sums, and brought
 block's documents. Nothing is broadcast or collected.
 
 A is byte-level (its entries decoded by the byte alphabet) and encodes a blank and the text, with
-strings of special tokens as ordinary text; B is a piece model that adds the blank itself.
+strings of special tokens as ordinary text; its file lists the merges in the order of their ids,
+so the entries are the ranks of ``bpe.Coder``. B is a piece model that adds the blank itself.
 
 Cases: null and empty texts, and texts whose tokens of A or B do not join to a blank and the text
 (B may change characters or blanks), have no tokens: all counts 0 and empty groups; each row is a
@@ -35,36 +36,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stage
+from . import bpe
 from .common import packed, portions
-from .tokens import Coder
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A block of documents ends when it holds so many distinct pairs, counted per document.
 BLOCK_PAIRS = 2_000_000
 #: Links that are expanded at a time.
 MOST_LINKS = 2_000_000
+#: Probing begins with so many tokens.
+SHORT = 4
 #: A pair's code: A id << SHIFT | B id.
 SHIFT = 32
 
 
-def byte_alphabet() -> dict[str, int]:
-    """Character of each byte in byte-level vocabularies: itself where it prints, else the next free one from 256."""
-    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(prints)]
-    return {chr(b): b for b in prints} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Pair:
     """Ids and bytes of both tokenizers."""
 
     def __init__(self, name_a: str, name_b: str):
-        self.a = Coder(name_a, special=False)
+        self.a = bpe.Coder(name_a, bpe.PATTERN)
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name_b))
-        alphabet = byte_alphabet()
-        self.bytes_a = [b""] * self.a.tokenizer.get_vocab_size()
-        for token, k in self.a.tokenizer.get_vocab().items():
-            if all(c in alphabet for c in token):
-                self.bytes_a[k] = bytes(alphabet[c] for c in token)
+        self.bytes_a = [token for token, _ in sorted(bpe.ranks(name_a).items(), key=lambda x: x[1])]
         self.bytes_b = []
         for k in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(k)
@@ -75,12 +67,11 @@ class Pair:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of A and B for each text; None where the bytes are not those of a blank and the text."""
-        both = zip(texts, self.a.encode([" " + t for t in texts]), self.b.encode(texts, num_threads=1))
-        for text, ids_a, ids_b in both:
-            raw = b" " + text.encode()
-            ids = ids_a, np.array(ids_b, np.int64)
-            joined = (b"".join(map(table.__getitem__, x.tolist())) for table, x in zip((self.bytes_a, self.bytes_b), ids))
-            yield ids if text and all(x == raw for x in joined) else None
+        for text, ids_b in zip(texts, self.b.encode(texts, num_threads=1)):
+            raw, ids = b" " + text.encode(), self.a.encode(" " + text)
+            # Byte-level tokens can only be those of the text; pieces may not.
+            same = int(self.sizes_a[ids].sum()) == len(raw) and b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw
+            yield (ids, np.array(ids_b, np.int64)) if text and same else None
 
 
 @functools.cache
@@ -98,16 +89,21 @@ def irregular(ends_a: list[int], ends_b: list[int]) -> list[int]:
     i = j = 0
     n = len(ends_a)
     while i < n:
-        step = 1
-        while step and i < n:
+        step = SHORT
+        while ends_a[i:i + step] == ends_b[j:j + step]:
+            i += step
+            j += step
+            step *= 2
+            if i >= n:
+                return out
+        while step > SHORT:
+            step //= 2
             if ends_a[i:i + step] == ends_b[j:j + step]:
                 i += step
                 j += step
-                step *= 2
-            else:
-                step //= 2
-        if i >= n:
-            break
+        while ends_a[i] == ends_b[j]:
+            i += 1
+            j += 1
         x, y = i, j
         a, b = ends_a[x], ends_b[y]
         while a != b:
