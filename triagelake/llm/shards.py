@@ -1,7 +1,7 @@
 """Balanced shards by vector bin packing over bytes, tokens and rows.
 
 Documents with equal texts form a group that should share a shard. A group heavier than
-``1 / PARTS`` of a shard in any of the three sizes is split by document hash into portions of
+``1 / PARTS`` of a shard in any of the three sizes is split by row number into portions of
 about that weight; such groups are few (at most 3 * shards * PARTS), which is what makes
 their table safe to broadcast. Everything else is one portion.
 
@@ -12,7 +12,7 @@ load over the number of shards, so its bins come out near equal. The bins of up
 packers are then packed again by the same rule, and so on until one packer is left: 40 bins.
 
 Law: ``bytes`` (sizes of shards near equal). Cases: a null text counts as empty; rows that
-repeat a document get slots of their own in one shard or portion; a null id is placed like any
+repeat a document are split like other copies and get slots of their own; a null id is placed like any
 other; an empty table gives no rows.
 """
 
@@ -78,7 +78,8 @@ def _packed(portions: DataFrame, packers: int, shards: int) -> DataFrame:
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard and slot (gapless from 0 in a shard) of every row of ``docs``."""
-    rows = stage(measure(docs), "shard-rows")
+    # Numbered when written, so rows that repeat a document are told apart.
+    rows = stage(measure(docs).withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     total = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SIZES]).first()
     group = ["group_hash", "group_length", "text_crc32"]
     limit = [max(1.0, total[c] / (shards * PARTS)) for c in SIZES]
@@ -87,7 +88,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     heavy = stage(heavy, "shard-heavy")
     # A document alone may outweigh the limit; it cannot be split, its portions just stay empty.
     rows = rows.join(F.broadcast(heavy), group, "left").withColumn(
-        "portion", F.coalesce(F.pmod(F.xxhash64("doc_id", "text_crc32"), F.col("portions")), F.lit(0)))
+        "portion", F.coalesce(F.pmod(F.xxhash64("row"), F.col("portions")), F.lit(0)))
     portion = [*group, "portion"]
     portions = rows.groupBy(*portion).agg(*[F.sum(c).alias(c) for c in SIZES]).withColumn("tie", F.xxhash64(*portion))
     portions = stage(portions, "shard-portions")
@@ -108,14 +109,14 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def _slots(placed: DataFrame, shards: int, n: int) -> DataFrame:
-    """Number the rows of each shard: blocks of bounded size by document hash, rows inside by id."""
+    """Number the rows of each shard: blocks of bounded size by row hash, rows inside by id."""
     blocks = max(1, math.ceil(n / (shards * SLOT_BLOCK)))
     placed = stage(placed.select(
-        "doc_id", F.col("bytes").alias("size"), "text_crc32", "shard",
-        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)).alias("block")), "shard-placed")
+        "doc_id", "row", F.col("bytes").alias("size"), "text_crc32", "shard",
+        F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).alias("block")), "shard-placed")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("shard", "block").agg(F.count("*").alias("n")).select(
         "shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32"))
+    inside = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "row"))
     return placed.withColumn("inside", inside).join(starts, ["shard", "block"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("base") + F.col("inside") - 1).alias("slot"))
