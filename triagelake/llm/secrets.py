@@ -10,7 +10,8 @@ beside an identifier and a secret.
 Since a bucket holds at most ``SCOPE`` characters, the pairs of a bucket are bounded.
 
 Cases: null text is empty; documents without spans have zero counts and empty lists; rows that
-repeat a document share its result; a part inside a base span of its own kind is not repeated.
+repeat a document share its result; a linked secret that is also the value of an assignment is
+listed as both.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # runs are maximal, so shorter ones need not be matched and dropped
 SHORTEST_VALUE, SHORTEST_ACCESS = 6, 20
 # ---- weak parts ----
-BARE_SECRET = r"(?<![A-Za-z0-9/+=])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])"
+BARE_SECRET = r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])"
 TEMPORARY = r"(?<![A-Z0-9])ASIA[A-Z0-9]{16}(?![A-Z0-9])"
-ENDPOINT = r"""(?i)\b(?:https?|s3)://[^\s"'<>]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com\b"""
+# Single character classes only: a repeated group needs stack for each repetition.
+ENDPOINT = r"""(?i)\b(?:https?|s3)://[^\s"'<>]+|(?<![a-z0-9.-])[a-z0-9-][a-z0-9.-]*\.amazonaws\.com\b"""
 GATES = [r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", r"A[KS]IA[A-Z0-9]{16}", HEX]
 #: Kinds in the order in which equal starts are listed.
 KINDS = ["assign", "access", "hex", "linked_access", "linked_secret", "linked_endpoint"]
