@@ -13,8 +13,8 @@ the price of a partial set per group. Rounds are written to shared storage, so n
 recomputed after a loss; the size of a group does not grow with the table.
 
 Cases: a null or empty text is the end id alone; only documents longer than a sequence are cut;
-rows that repeat a document are packed each by itself, but exact repeats of a row (id and text)
-share a group; an empty table gives no sequences.
+rows that repeat a document are packed each by itself; a null id is an id like any other; an
+empty table gives no sequences.
 """
 
 from __future__ import annotations
@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stage
-from .common import packed
+from .common import packed, portions
 from .tokens import coder
 
 LENGTH = 2048
@@ -40,20 +41,23 @@ VOCABULARY, END = "word_bpe_49k.json", 0
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, length: int = LENGTH) -> DataFrame:
     """doc_id, tk (text hash), piece, start, length, ids_crc32 and ids (little-endian, 16 bits each) of each piece."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(vocabulary).encode
-        for batch in batches:
+        for batch in portions(batches, "text"):
             rows = []
-            for doc_id, tk, ids in zip(batch["doc_id"], batch["tk"], encode(batch["text"].tolist())):
+            for row, ids in enumerate(encode(batch["text"].to_pylist())):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), length)):
                     part = ids[at:at + length]
-                    rows.append((doc_id, tk, k, at, len(part), zlib.crc32(part.tobytes()), part.astype("<u2").tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "tk", "piece", "start", "length", "ids_crc32", "ids"]).astype(
-                {"doc_id": batch["doc_id"].dtype})
+                    rows.append((row, k, at, len(part), zlib.crc32(part.tobytes()), part.astype("<u2").tobytes()))
+            row, piece, start, size, crc, raw = zip(*rows)
+            own = [batch[c].take(pa.array(row)) for c in ("doc_id", "tk")]
+            yield pa.RecordBatch.from_arrays(
+                [*own, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, size, crc)), pa.array(raw, pa.binary())],
+                names=["doc_id", "tk", "piece", "start", "length", "ids_crc32", "ids"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return packed(docs).select("key.doc_id", "key.tk", "text").mapInPandas(
+    return packed(docs).select("key.doc_id", "key.tk", "text").mapInArrow(
         cut, f"doc_id {id_type}, tk bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary")
 
 
@@ -86,7 +90,7 @@ def sum_of_squares(sizes: list[int], capacity: int) -> tuple[np.ndarray, np.ndar
 def _pack_group(level: int, capacity: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         if level == 0:  # every piece is a block of its own, later an open sequence is one
-            group = group.sort_values(["length", "tk", "doc_id", "piece"], ascending=[False, True, True, True], ignore_index=True)
+            group = group.sort_values(["length", "row"], ascending=[False, True], ignore_index=True)
             block, sizes, order = np.arange(len(group)), group["length"].to_numpy(), np.arange(len(group))
         else:
             block = np.unique(group["sequence_id"], return_inverse=True)[1]
@@ -104,25 +108,26 @@ def _pack_group(level: int, capacity: int):
 
 def pack(found: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """The columns of ``pieces`` (without ids) with sequence_id and offset; ``found`` should be a written table."""
-    columns = ["doc_id", "tk", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    columns = ["doc_id", "tk", "piece", "start", "length", "ids_crc32"]
+    # Numbered when written: only numbers go through the packers, and pieces of equal rows are dealt apart.
+    rows = stage(found.select(*columns, F.monotonically_increasing_id().alias("row")), "pack-rows")
     none = F.lit(0).cast("bigint")
-    left, level, placed = found.select(*columns[:6], none.alias("sequence_id"), none.alias("offset")), 0, None
-    schema = ", ".join(f"{c} {t}" for c, t in left.dtypes) + ", pack bigint, gap bigint"
+    left, level, placed = rows.select("row", "length", none.alias("sequence_id"), none.alias("offset")), 0, None
+    schema = "row bigint, length bigint, sequence_id bigint, offset bigint, pack bigint, gap bigint"
     n = left.count()
     while True:
         groups = max(1, math.ceil(n / group))
-        block = F.xxhash64(*(["sequence_id"] if level else ["doc_id", "tk", "piece"]), F.lit(level))
-        dealt = left.withColumn("pack", F.pmod(block, F.lit(groups)))
+        dealt = left.withColumn("pack", F.pmod(F.xxhash64("sequence_id" if level else "row", F.lit(level)), F.lit(groups)))
         done = stage(dealt.groupBy("pack").applyInPandas(_pack_group(level, length), schema), "packed")
         smallest = done.where("gap > 0").agg(F.min(length - F.col("gap"))).first()[0]
         ends = (F.col("gap") == 0) | (F.col("gap") < F.lit(smallest))  # nothing left fits
         before, n = n, 0 if smallest is None else done.where(~ends).count()
         last = groups == 1 or n == 0 or n > SHRINK * before
-        final = (done if last else done.where(ends)).select(*columns)
+        final = (done if last else done.where(ends)).select("row", "sequence_id", "offset")
         placed = final if placed is None else placed.unionByName(final)
         if last:
-            return placed
-        left, level = done.where(~ends).select(*columns), level + 1
+            return rows.join(placed, "row").drop("row")
+        left, level = done.where(~ends).select("row", "length", "sequence_id", "offset"), level + 1
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
