@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 NGRAMS = (1, 2, 3, 4)
@@ -111,16 +111,17 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row of ``docs``."""
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch["text"]]
+            texts = [t or "" for t in batch["text"].to_pylist()]
             names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
             known = [k for k, t in enumerate(texts) if model and any(map(str.isalpha, t))]
             for at in range(0, len(known), _BATCH):
                 some = known[at:at + _BATCH]
                 names[some], scores[some] = model.predict([texts[k] for k in some])
-            yield batch[["doc_id", "held_out"]].assign(lang_pred=names, score=scores)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(scores)],
+                                             names=["doc_id", "held_out", "lang_pred", "score"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInPandas(
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
         predict, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
