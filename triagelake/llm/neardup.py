@@ -14,9 +14,10 @@ are fixed bijections of the ring. 128 coordinates in 32 bands of four make a pai
 4. Buckets of three or more that still hold several components are searched for the other pairs
    with array operations, in blocks of bounded size (a larger bucket is cut into blocks and every
    pair of blocks is one group): first a spanning forest of the most similar pairs of different
-   components is passed on and verified, then whatever pair still joins different components,
-   so no link between components is lost. Known limit: in a bucket with many unlinked but similar
-   sets this last pass emits nearly all its pairs (figures in the README).
+   components is passed on and verified. Then the members that still have a possible partner in
+   another component bring their full sets to their blocks, where each such pair is verified in
+   its first common band and the components are joined on the spot. So no link between
+   components is lost, and no more links than members ever leave a block.
 
 Cases: null, empty and blank texts have no set, link with nothing and are kept; fewer than five
 words make one shingle of the whole sequence; rows that repeat a document share its result; a
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType
 
 from ..session import stage
-from .common import packed
+from .common import packed, portions
 
 WORDS = 5
 PERCENT = 75
@@ -43,7 +44,8 @@ BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 #: Pairs that agree in fewer coordinates are not verified: 0.75 * 128 less seven standard deviations.
 LEAST_AGREE = 61
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 512, 1 << 21
+BLOCK_KEY = ["band", "bucket", "low", "high"]
 
 _BASE = 0x9E3779B97F4A7C55  # odd, so its powers can be divided out again
 _BYTES = np.arange(256)
@@ -111,10 +113,10 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in portions(batches, "text"):
         sizes, folds, bands, low = [], [], [], []
-        for text in batch["text"]:
+        for text in batch["text"].to_pylist():
             found = shingles(text)
             sizes.append(len(found))
             if not len(found):
@@ -127,79 +129,127 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 key = _mix64(key ^ coordinates[j::ROWS].astype(np.uint64) + np.uint64(j + 1))
             bands.append(key.view(np.int64))
             low.append(coordinates.astype(np.uint16).tobytes())
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "tk": batch["tk"], "n_shingles": sizes, "fold": folds,
-                            "bands": bands, "signature": low})
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], batch["tk"], pa.array(sizes, pa.int64()), pa.array(folds, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())],
+            names=["doc_id", "tk", "n_shingles", "fold", "bands", "signature"])
 
 
 def describe(docs: DataFrame) -> DataFrame:
     """key, n_shingles, fold (hash of the set), band keys and signature of each row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = packed(docs).select("key.doc_id", "key.tk", "text")
-    out = rows.mapInPandas(_describe, f"doc_id {id_type}, tk bigint, n_shingles bigint, fold binary, bands array<bigint>, signature binary")
+    out = rows.mapInArrow(_describe, f"doc_id {id_type}, tk bigint, n_shingles bigint, fold binary, bands array<bigint>, signature binary")
     return out.select(F.struct("doc_id", "tk").alias("key"), "n_shingles", "fold", "bands", "signature")
 
 
 # ---- candidate pairs ------------------------------------------------------------
 
-def _forest(bits: np.ndarray, sizes: np.ndarray, label: np.ndarray, side: np.ndarray, all_pairs: bool) -> list[tuple[int, int]]:
-    """Pairs of one block that may be links and join different labels: all, or a most-similar spanning forest."""
-    n, pairs = len(bits), []
-    for i in range(n - 1):
-        rest = np.arange(i + 1, n)
-        rest = rest[(side[rest] != side[i]) | (side[i] < 0)]
-        rest = rest[label[rest] != label[i]]
-        low, high = np.minimum(sizes[rest], sizes[i]), np.maximum(sizes[rest], sizes[i])
-        rest = rest[100 * low >= PERCENT * high]
-        if len(rest):
-            agree = (bits[rest] == bits[i]).sum(axis=1)
-            good = agree >= LEAST_AGREE
-            pairs.extend(zip(agree[good].tolist(), [i] * int(good.sum()), rest[good].tolist()))
-    if all_pairs:
-        return [(i, j) for _, i, j in pairs]
-    parent = {x: x for x in label.tolist()}
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for _, i, j in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
-        a, b = root(int(label[i])), root(int(label[j]))
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            out.append((i, j))
-    return out
-
+class Block:
+    """Members of one block of a bucket, or of two blocks that meet, in order of their folds."""
 
-def _block_pairs(all_pairs: bool):
-    def run(block: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(block[c].to_pylist() for c in ("fold", "signature", "n_shingles", "label", "side"))))
-        folds, signatures, sizes, labels, sides = zip(*rows)
-        bits = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(rows), COORDINATES)
+    def __init__(self, rows: pa.Table):
+        columns = ["fold", "signature", "n_shingles", "label", "side", *(c for c in ("bands", "shingles") if c in rows.column_names)]
+        order = rows["fold"].combine_chunks().to_numpy(zero_copy_only=False).argsort(kind="stable")
+        taken = rows.select(columns).take(order)
+        self.folds, labels = taken["fold"].to_pylist(), taken["label"].to_pylist()
+        self.bits = np.frombuffer(b"".join(taken["signature"].to_pylist()), np.uint16).reshape(-1, COORDINATES)
+        self.sizes, self.side = (taken[c].to_numpy() for c in ("n_shingles", "side"))
         number: dict[bytes, int] = {}
-        label = np.array([number.setdefault(x, len(number)) for x in labels])
-        found = _forest(bits, np.array(sizes), label, np.array(sides), all_pairs)
-        return pa.table({"a": pa.array([folds[i] for i, _ in found], pa.binary()), "b": pa.array([folds[j] for _, j in found], pa.binary())})
-
-    return run
-
-
-def _candidates(members: DataFrame, all_pairs: bool) -> DataFrame:
-    """Distinct (a, b), a < b by fold, from members (band, bucket, n, fold, n_shingles, signature, label)."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    own = F.pmod(F.xxhash64("fold"), blocks)
+        self.label = np.array([number.setdefault(x, len(number)) for x in labels])
+        self.bands = taken["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS) if "bands" in columns else None
+        self.sets = [np.frombuffer(x, np.uint64) for x in taken["shingles"].to_pylist()] if "shingles" in columns else None
+        self.band = rows["band"][0].as_py() if len(rows) else 0
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """i, all j > i of other labels that may be linked with it, and in how many coordinates they agree."""
+        for i in range(len(self.folds) - 1):
+            rest = np.arange(i + 1, len(self.folds))
+            rest = rest[((self.side[rest] != self.side[i]) | (self.side[i] < 0)) & (self.label[rest] != self.label[i])]
+            low, high = np.minimum(self.sizes[rest], self.sizes[i]), np.maximum(self.sizes[rest], self.sizes[i])
+            rest = rest[100 * low >= PERCENT * high]
+            agree = (self.bits[rest] == self.bits[i]).sum(axis=1)
+            rest, agree = rest[agree >= LEAST_AGREE], agree[agree >= LEAST_AGREE]
+            if self.bands is not None:  # pairs that meet in several bands belong to the first
+                own = (self.bands[rest] == self.bands[i]).argmax(axis=1) == self.band
+                rest, agree = rest[own], agree[own]
+            if len(rest):
+                yield i, rest, agree
+
+    def forest(self, linked=lambda i, j: True) -> list[tuple[int, int]]:
+        """Pairs that join different labels and pass ``linked``, most similar first; never more than labels less one."""
+        found = [(i, j, n) for i, rest, agree in self.pairs() for j, n in zip(rest.tolist(), agree.tolist())]
+        parent = list(range(int(self.label.max(initial=-1)) + 1))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for i, j, _ in sorted(found, key=lambda p: (-p[2], p[0], p[1])):
+            a, b = root(int(self.label[i])), root(int(self.label[j]))
+            if a != b and linked(i, j):
+                parent[max(a, b)] = min(a, b)
+                out.append((i, j))
+        return out
+
+    def links(self, found: list[tuple[int, int]]) -> pa.Table:
+        return pa.table({"a": pa.array([self.folds[i] for i, _ in found], pa.binary()), "b": pa.array([self.folds[j] for _, j in found], pa.binary())})
+
+
+def _likely(rows: pa.Table) -> pa.Table:
+    """A spanning forest of the most similar pairs of different labels, by signature."""
+    block = Block(rows)
+    return block.links(block.forest())
+
+
+def _partnered(rows: pa.Table) -> pa.Table:
+    """The members that have a possible partner in their block."""
+    block, named = Block(rows), set()
+    for i, rest, _ in block.pairs():
+        named.update([i, *rest.tolist()])
+    kept = {block.folds[k] for k in named}
+    return rows.filter(pa.array([x in kept for x in rows["fold"].to_pylist()], pa.bool_()))
+
+
+def _united(rows: pa.Table) -> pa.Table:
+    """Links that join the labels of a block, each verified on full sets: pairs whose labels are joined already are left out."""
+    block = Block(rows)
+    return block.links(block.forest(lambda i, j: _similar(block.sets[i], block.sets[j])))
+
+
+def _blocked(members: DataFrame) -> DataFrame:
+    """Members (band, bucket, ...) with ``low`` and ``high``, the blocks of their bucket that meet, and their side.
+
+    A bucket is cut into blocks of about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles.
+    """
+    sizes = members.groupBy("band", "bucket").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks"))
+    own = F.pmod(F.xxhash64("fold"), F.col("blocks"))
     # Block pair (low, high): with one block all is compared, else a member meets every other block and its own.
-    met = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(
+    met = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(
         F.least(o, own).alias("low"), F.greatest(o, own).alias("high")))
-    rows = members.withColumn("own", own).withColumn("met", F.explode(met)).select(
-        "band", "bucket", "met", "fold", "n_shingles", "signature", "label",
-        F.when(F.col("met.low") == F.col("met.high"), -1).when(F.col("met.low") == F.col("own"), 0).otherwise(1).alias("side"))
-    found = rows.groupBy("band", "bucket", "met").applyInArrow(_block_pairs(all_pairs), "a binary, b binary")
+    side = F.when(F.col("low") == F.col("high"), -1).when(F.col("low") == F.col("own"), 0).otherwise(1)
+    dealt = members.join(sizes, ["band", "bucket"]).withColumn("own", own).select("*", F.inline(met))
+    return dealt.withColumn("side", side).drop("own", "blocks")
+
+
+def _candidates(members: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b by fold, from members (band, bucket, fold, n_shingles, signature, label)."""
+    found = _blocked(members).groupBy(*BLOCK_KEY).applyInArrow(_likely, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _last_links(docs: DataFrame, folds: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) that join the different labels left in a bucket; no more rows than members leave a block."""
+    blocked = _blocked(members)
+    schema = ", ".join(f"{c} {t}" for c, t in blocked.dtypes)
+    named = stage(blocked.groupBy(*BLOCK_KEY).applyInArrow(_partnered, schema), "neardup-partnered")
+    whole = named.join(_sets(docs, folds, named.select("fold").distinct()), "fold")
+    return whole.groupBy(*BLOCK_KEY).applyInArrow(_united, "a binary, b binary").distinct()
+
+
 def _alike(pairs: DataFrame, about: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link."""
     side = lambda k: about.select(F.col("fold").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("signature").alias(f"signature_{k}"))
@@ -221,14 +271,17 @@ def _set_bytes(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: shingles(t).tobytes())
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are linked."""
+    if len(x) > len(y):
+        x, y = y, x
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 @F.pandas_udf(BooleanType())
 def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: bytes, y: bytes) -> bool:
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * both >= PERCENT * (len(x) + len(y) - both)
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
+    return pd.Series([_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=bool)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -237,14 +290,18 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_linked("set_a", "set_b")).select("a", "b")
 
 
-def _sets(docs: DataFrame, folds: DataFrame, pairs: DataFrame) -> DataFrame:
-    """fold and full set of each fold that a pair names, from the text of its first document."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("fold")).distinct()
+def _sets(docs: DataFrame, folds: DataFrame, named: DataFrame) -> DataFrame:
+    """fold and full set of each named fold, from the text of its first document."""
     wanted = folds.join(named, "fold", "left_semi").select("fold", "key")
     texts = packed(docs).select("key", "text").join(wanted, "key")
     return texts.dropDuplicates(["fold"]).select("fold", _set_bytes("text").alias("shingles"))
 
 
+def _verified(docs: DataFrame, folds: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links."""
+    return _verify(pairs, _sets(docs, folds, pairs.select(F.explode(F.array("a", "b")).alias("fold")).distinct()))
+
+
 # ---- components -----------------------------------------------------------------
 
 def components(links: DataFrame) -> DataFrame:
@@ -274,13 +331,22 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _merge(label: DataFrame, links: DataFrame) -> DataFrame:
-    """``label`` after further links (a, b): only the components that they join are searched again."""
+    """``label`` after further written links (a, b): only the components that they join are searched again."""
+    if not links.take(1):
+        return label
     named = lambda k: label.select(F.col("node").alias(k), F.col("label").alias(f"label_{k}"))
     both = links.join(named("a"), "a", "left").join(named("b"), "b", "left")
     above = components(both.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")))
     over = above.select(F.col("node").alias("label"), F.col("label").alias("over"))
     # A smallest node is no row of ``label``, so the rows of ``above`` are new ones.
-    return label.join(over, "label", "left").select("node", F.coalesce("over", "label").alias("label")).unionByName(above)
+    return stage(label.join(over, "label", "left").select("node", F.coalesce("over", "label").alias("label")).unionByName(above), "neardup-labels")
+
+
+def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The members, with their label, of buckets that hold several labels; written."""
+    named = members.join(label.withColumnRenamed("node", "fold"), "fold", "left").withColumn("label", F.coalesce("label", "fold"))
+    several = named.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return stage(named.join(several.select("band", "bucket"), ["band", "bucket"], "left_semi"), "neardup-mixed")
 
 
 def _star(edges: DataFrame, sides: DataFrame) -> DataFrame:
@@ -304,23 +370,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Every member of a band bucket with the smallest fold there: one candidate per member.
     centre = members.groupBy("band", "bucket").agg(F.min("fold").alias("a"))
     tested = stage(_alike(members.join(centre, ["band", "bucket"]).where("fold <> a").select("a", F.col("fold").alias("b")).distinct(), about), "neardup-pairs")
-    links = stage(_verify(tested, _sets(docs, folds, tested)), "neardup-links")
-    label = stage(components(links), "neardup-labels")
-
-    # Larger buckets that still hold several components: most similar pairs first, then all that are left.
-    larger = members.where("n > 2")
-    for all_pairs in (False, True):
-        named = larger.join(label.withColumnRenamed("node", "fold"), "fold", "left").withColumn("label", F.coalesce("label", "fold"))
-        mixed = named.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        larger = stage(larger.join(mixed.select("band", "bucket"), ["band", "bucket"], "left_semi"), "neardup-mixed")
-        if not larger.take(1):
-            break
-        named = larger.join(label.withColumnRenamed("node", "fold"), "fold", "left").withColumn("label", F.coalesce("label", "fold"))
-        rest = stage(_candidates(named.join(about, "fold"), all_pairs).join(tested, ["a", "b"], "left_anti"), "neardup-pairs")
-        more = stage(_verify(rest, _sets(docs, folds, rest)), "neardup-links")
-        tested = tested.unionByName(rest)
-        if more.take(1):
-            label = stage(_merge(label, more), "neardup-labels")
+    label = stage(components(stage(_verified(docs, folds, tested), "neardup-links")), "neardup-labels")
+
+    # Larger buckets that still hold several components: the most similar pairs first, then all that are left.
+    mixed = _mixed(members.where("n > 2").drop("n"), label)
+    if mixed.take(1):
+        rest = stage(_candidates(mixed.join(about, "fold")).join(tested, ["a", "b"], "left_anti"), "neardup-pairs")
+        label = _merge(label, stage(_verified(docs, folds, rest), "neardup-links"))
+        mixed = _mixed(mixed.drop("label"), label)
+    if mixed.take(1):
+        about = about.join(folds.select("fold", "bands"), "fold")
+        label = _merge(label, stage(_last_links(docs, folds, mixed.join(about, "fold")), "neardup-links"))
 
     firsts = folds.select("fold", F.col("key").alias("own")).join(label.withColumnRenamed("node", "fold"), "fold", "left")
     firsts = firsts.withColumn("label", F.coalesce("label", "fold"))
