@@ -11,11 +11,14 @@ document (checkpoints), lane states (64 bits each, little-endian), the code word
 little-endian, in the order in which a decoder needs them) and the crc32 of the ids. Blocks lie
 in ascending order of doc_id, then text hash.
 
-Order over the whole corpus: documents are dealt to ranges of doc_id found by quantiles of the
-ids alone; ranges are sorted inside; a table with one row per range gives what lies before it.
-
-Cases: null text is empty (the end id alone); a null id comes first; rows that repeat a document
-are written each by itself; an empty table gives files without blocks; a wrong checksum raises.
+Texts are tokenised where they are read; only ids are shuffled. Order over the whole corpus:
+documents are range-partitioned by doc_id and text hash and sorted inside their range; a task
+holds one block at a time; a table with one row per range gives what lies before it. The
+checkpoints are the documents' numbers of ids: a block is decoded as a whole.
+
+Cases: null text is empty (the end id alone); a null id comes first; ids may have any type that
+can be ordered; rows that repeat a document are written each by itself; an empty table gives
+files without blocks; a wrong checksum raises; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -25,18 +28,21 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import stage
-from .common import packed
+from .common import packed, portions
 from .tokens import coder
 
 VOCABULARY, END = "byte_bpe_50k.json", 2
 SCALE = 22
 LANES = 4096
 BLOCK_IDS = 1 << 20
-RANGE_ROWS = 5_000
+#: Ids of a range, on the average.
+RANGE_IDS = 1 << 24
 LOW = np.uint64(1 << 31)
 
 
@@ -103,65 +109,78 @@ class Table:
 
 
 def encode_ids(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END) -> DataFrame:
-    """range, doc_id, tk and ids (16 bits each, end id included), written by ranges of ascending doc_id."""
-    rows = packed(docs).select("key.doc_id", "key.tk", "text")
-    n = rows.count()
-    ranges = max(1, math.ceil(n / RANGE_ROWS))
-    # Quantiles of the ids alone; they only decide how even the ranges are, not the order.
-    cuts = docs.selectExpr(f"approx_percentile(doc_id, array({', '.join(str((k + 1) / ranges) for k in range(ranges - 1))}), 10000) AS c").first()["c"] if ranges > 1 else []
-    bound = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]) if cuts else F.array().cast("array<bigint>")
-    where = F.coalesce(F.size(F.filter(bound, lambda c: c < F.col("doc_id"))), F.lit(0))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """doc_id, tk and ids (16 bits each, end id included) of each row of ``docs``, written where the texts are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(vocabulary).encode
-        for batch in batches:
-            ids = [np.append(x, np.uint32(end)).astype("<u2").tobytes() for x in encode(batch["text"].tolist())]
-            yield batch[["range", "doc_id", "tk"]].assign(ids=ids)
+        for batch in portions(batches, "text"):
+            ids = [np.append(x, np.uint32(end)).astype("<u2").tobytes() for x in encode(batch["text"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tk"], pa.array(ids, pa.binary())], names=["doc_id", "tk", "ids"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    dealt = rows.withColumn("range", where).repartition(ranges, "range").sortWithinPartitions("range", "doc_id", "tk")
-    return stage(dealt.mapInPandas(run, f"range int, doc_id {id_type}, tk bigint, ids binary"), "token-ids")
+    rows = packed(docs).select("key.doc_id", "key.tk", "text")
+    return stage(rows.mapInArrow(run, f"doc_id {id_type}, tk bigint, ids binary"), "token-ids")
 
 
-def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        total += np.bincount(np.frombuffer(b"".join(batch["ids"]), "<u2"), minlength=1 << 16)
+        total += np.bincount(np.frombuffer(b"".join(batch["ids"].to_pylist()), "<u2"), minlength=1 << 16)
     used = np.flatnonzero(total)
-    yield pd.DataFrame({"id": used, "n": total[used]})
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+
+
+def _blocks(ids: np.ndarray, freq: np.ndarray, block_ids: int, id_type: pa.DataType):
+    """The blocks of one range, from its documents in order; a block is held at a time."""
+
+    def block(table: Table, number: tuple[int, int], docs: list[tuple]) -> pa.RecordBatch:
+        doc_ids, tks, raw = zip(*docs)
+        values = np.frombuffer(b"".join(raw), "<u2").astype("<u4")
+        state, words = table.encode(values, min(LANES, max(1, len(values))))
+        row = [*number, list(doc_ids), list(tks), [len(x) // 2 for x in raw], len(values), state.astype("<u8").tobytes(), words.astype("<u4").tobytes(), zlib.crc32(values.tobytes())]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
+
+    names = ["range", "block", "doc_ids", "tks", "sizes", "n_ids", "states", "words", "ids_crc32"]
+    types = [pa.int32(), pa.int32(), pa.list_(id_type), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, docs, held = TaskContext.get().partitionId(), 0, [], 0
+        table = Table(ids, freq) if len(ids) else None
+        for batch in batches:
+            for doc in zip(*(batch[c].to_pylist() for c in ("doc_id", "tk", "ids"))):
+                docs.append(doc)
+                held += len(doc[2]) // 2
+                if held >= block_ids:
+                    yield block(table, (part, number), docs)
+                    number, docs, held = number + 1, [], 0
+        if docs:
+            yield block(table, (part, number), docs)
+
+    return run
 
 
-def write_files(found: DataFrame, folder: str) -> None:
+def write_files(found: DataFrame, folder: str, block_ids: int = BLOCK_IDS, range_ids: int = RANGE_IDS) -> None:
     """Count, quantise and encode the ids of ``encode_ids`` into ``folder``."""
     spark = found.sparkSession
-    counted = found.select("ids").mapInPandas(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counted = counted.sort_values("id")  # one row per id of the vocabulary
-    ids, freq = counted["id"].to_numpy(), quantise(counted["n"].to_numpy()) if len(counted) else np.empty(0, np.int64)
-    spark.createDataFrame(pd.DataFrame({"id": ids, "frequency": freq}), "id bigint, frequency bigint").coalesce(1).write.parquet(f"{folder}/table")
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        table, rows = Table(ids, freq), []
-        part = part.sort_values(["doc_id", "tk"], na_position="first", ignore_index=True)
-        sizes = part["ids"].map(len).to_numpy() // 2
-        block = np.concatenate([[0], np.cumsum(sizes)[:-1]]) // BLOCK_IDS
-        for k, at in enumerate(np.flatnonzero(np.diff(block, prepend=-1))):
-            own = part[block == block[at]]
-            values = np.frombuffer(b"".join(own["ids"]), "<u2").astype("<u4")
-            state, words = table.encode(values, min(LANES, max(1, len(values))))
-            rows.append((int(part["range"].iloc[0]), k, own["doc_id"].tolist(), own["tk"].tolist(), sizes[block == block[at]].tolist(), len(values),
-                         state.astype("<u8").tobytes(), words.astype("<u4").tobytes(), zlib.crc32(values.tobytes())))
-        return pd.DataFrame(rows, columns=["range", "block", "doc_ids", "tks", "sizes", "n_ids", "states", "words", "ids_crc32"])
-
-    id_type = found.schema["doc_id"].dataType.simpleString()
-    blocks = found.groupBy("range").applyInPandas(
-        run, f"range int, block int, doc_ids array<{id_type}>, tks array<bigint>, sizes array<bigint>, n_ids bigint, states binary, words binary, ids_crc32 bigint")
+    # One row per id of the vocabulary.
+    counted = found.select("ids").mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toArrow()
+    ids, n = (counted[c].to_numpy() for c in ("id", "n"))
+    freq = quantise(n) if len(n) else np.empty(0, np.int64)
+    spark.createDataFrame(pa.table({"id": pa.array(ids, pa.int64()), "frequency": pa.array(freq, pa.int64())})).coalesce(1).write.parquet(f"{folder}/table")
+    # Ranges in order of the ids; their borders only decide how even the ranges are.
+    ranges = max(1, math.ceil(int(n.sum()) / range_ids))
+    dealt = found.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first(), "tk").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tk")
+    field = found.schema["doc_id"].dataType
+    blocks = dealt.mapInArrow(
+        _blocks(ids, freq, block_ids, to_arrow_type(field)),
+        f"range int, block int, doc_ids array<{field.simpleString()}>, tks array<bigint>, sizes array<bigint>, n_ids bigint, states binary, words binary, ids_crc32 bigint")
     blocks.write.parquet(f"{folder}/blocks")
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, tk, start (ids of all documents before), n_tokens, ids_crc32 and ids of each document, decoded."""
-    table_rows = spark.read.parquet(f"{folder}/table").orderBy("id").toPandas()
-    ids, freq = table_rows["id"].to_numpy(), table_rows["frequency"].to_numpy()
+    table_rows = spark.read.parquet(f"{folder}/table").orderBy("id").toArrow()
+    ids, freq = (table_rows[c].to_numpy() for c in ("id", "frequency"))
     blocks = spark.read.parquet(f"{folder}/blocks")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("range").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -170,19 +189,22 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
     starts = heads.withColumn("own", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(ranges, "range").select(
         "range", "block", (F.col("base") + F.col("own")).alias("base"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(ids, freq) if len(ids) else None
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                values = table.decode(row.n_ids, np.frombuffer(row.states, "<u8"), np.frombuffer(row.words, "<u4"))
-                if zlib.crc32(values.astype("<u4").tobytes()) != row.ids_crc32:
-                    raise ValueError(f"range {row.range}, block {row.block}: wrong checksum")
-                ends = np.cumsum(row.sizes)
-                parts = [values[e - n:e].astype("<u4") for e, n in zip(ends, row.sizes)]
-                yield pd.DataFrame({
-                    "doc_id": pd.Series(row.doc_ids, dtype=object), "tk": row.tks, "start": row.base + ends - row.sizes, "n_tokens": row.sizes,
-                    "ids_crc32": [zlib.crc32(p.tobytes()) for p in parts], "ids": [p.tobytes() for p in parts]})
+            for k in range(batch.num_rows):
+                row = {c: batch[c][k] for c in batch.schema.names}
+                values = table.decode(row["n_ids"].as_py(), np.frombuffer(row["states"].as_buffer(), "<u8"), np.frombuffer(row["words"].as_buffer(), "<u4"))
+                if zlib.crc32(values.astype("<u4").tobytes()) != row["ids_crc32"].as_py():
+                    raise ValueError(f"range {row['range']}, block {row['block']}: wrong checksum")
+                sizes = row["sizes"].values.to_numpy()
+                ends = np.cumsum(sizes)
+                parts = [values[e - n:e].astype("<u4") for e, n in zip(ends, sizes)]
+                yield pa.RecordBatch.from_arrays(
+                    [row["doc_ids"].values, row["tks"].values, pa.array(row["base"].as_py() + ends - sizes), pa.array(sizes),
+                     pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())],
+                    names=["doc_id", "tk", "start", "n_tokens", "ids_crc32", "ids"])
 
     id_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    return blocks.join(starts, ["range", "block"]).select("range", "block", "doc_ids", "tks", "sizes", "n_ids", "states", "words", "ids_crc32", "base").mapInPandas(
+    return blocks.join(starts, ["range", "block"]).select("range", "block", "doc_ids", "tks", "sizes", "n_ids", "states", "words", "ids_crc32", "base").mapInArrow(
         run, f"doc_id {id_type}, tk bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
