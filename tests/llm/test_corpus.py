@@ -84,12 +84,32 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept.columns == docs_of(spark, texts).columns
 
 
-def test_blocks_find_the_pairs_of_a_large_bucket(spark, monkeypatch):
+def test_blocks_join_the_labels_of_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 3)
-    texts = [" ".join(words(100, 7)[: 100 - k]) for k in range(12)]
-    described = neardup.describe(docs_of(spark, texts))
-    members = described.select(F.lit(0).alias("band"), F.lit(0).alias("bucket"), F.lit(12).alias("n"), "fold", "n_shingles", "signature", F.col("fold").alias("label"))
-    assert neardup._candidates(members, True).count() == 12 * 11 // 2
+    texts = [" ".join(words(100, 7)[: 100 - 4 * k]) for k in range(20)] + [" ".join(words(60, 8) + words(50, k)) for k in range(20, 30)]
+    docs = docs_of(spark, texts)
+    folds = neardup.stage(neardup.describe(docs), "test-folds")
+    members = folds.select(F.posexplode("bands").alias("band", "bucket"), "fold", "n_shingles", "signature", "bands", F.col("fold").alias("label"))
+    found = neardup.stage(neardup._last_links(docs, folds, members), "test-links")
+    label = neardup.components(found)
+    of = {bytes(r["fold"]): r["key"]["doc_id"] for r in folds.collect()}
+    groups: dict = {}
+    for r in label.collect():
+        groups.setdefault(bytes(r["label"]), {of[bytes(r["label"])]}).add(of[bytes(r["node"])])
+    _, root = jaccard_groups(texts)
+    assert {frozenset(g) for g in groups.values()} == {frozenset(i for i in range(30) if root[i] == r) for r in set(root) if root.count(r) > 1}
+    sets = [set(neardup.shingles(t).tolist()) for t in texts]
+    for r in found.collect():
+        x, y = sets[of[bytes(r["a"])]], sets[of[bytes(r["b"])]]
+        assert 100 * len(x & y) >= 75 * len(x | y)
+
+
+def test_large_ids_beside_null_stay_exact(spark):
+    big = 9007199254740993  # no float holds it
+    rows = docs_of(spark, [LONG, LONG, "other words"], [None, big, big + 2])
+    out = neardup.near_duplicates(rows).select("key.doc_id", "kept").collect()
+    assert {tuple(r) for r in out} == {(None, True), (big, False), (big + 2, True)}
+    assert {r["doc_id"] for r in neardup.keep_one(rows).collect()} == {None, big + 2}
 
 
 def test_near_duplicates_of_repeated_rows_and_empty_table(spark):
