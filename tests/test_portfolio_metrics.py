@@ -1,4 +1,7 @@
 
+import math
+
+import numpy as np
 import pytest
 
 from triagelake.operators import metrics, portfolio, selection, thresholds
@@ -8,22 +11,24 @@ def frame(spark, labels, scores):
     return spark.createDataFrame(list(zip(range(len(labels)), labels, map(float, scores))), "id long, y int, s double")
 
 
-LABELS = [1, 0, 1, 0, 0, 1, 0, 0, 0, 0]
-
-
-def test_top_twenty_percent(spark):
-    df = frame(spark, LABELS, [.9, .8, .7, .6, .5, .4, .3, .2, .1, .05])
-    r = portfolio.top_k_metrics(df, "s", "y", "id", 20).first()
-    assert (r["claims_reviewed"], r["fraud_selected"]) == (2, 1)
-    assert r["fraud_capture"] == pytest.approx(1 / 3) and r["precision"] == 0.5 and r["lift"] == pytest.approx(0.5 / 0.3)
-
-
-def test_gains_and_deciles(spark):
-    df = frame(spark, LABELS, range(10, 0, -1))
+@pytest.mark.parametrize("n, seed", [(1, 0), (7, 1), (40, 2), (333, 3)])
+def test_shares_gains_and_deciles_by_sorting(spark, n, seed):
+    draw = np.random.default_rng(seed)
+    labels, scores = draw.integers(0, 2, n).tolist(), (draw.integers(0, 9, n) / 8).tolist()  # many ties
+    df = frame(spark, labels, scores)
+    ranked = [labels[i] for i in sorted(range(n), key=lambda i: (-scores[i], i))]
+    total = sum(ranked)
+    for r in portfolio.capacity_summary(df, "s", "y", "id", (0.5, 3, 20, 55, 100)).collect():
+        k = min(n, max(1, math.ceil(n * r["percentage"] / 100)))
+        hits = sum(ranked[:k])
+        assert (r["claims_reviewed"], r["fraud_selected"], r["total_fraud"]) == (k, hits, total)
+        assert r["precision"] == pytest.approx(hits / k) and r["fraud_capture"] == pytest.approx(hits / total if total else 0)
+        assert r["lift"] == pytest.approx(hits / k / (total / n) if total else 0)
     gains = portfolio.cumulative_gains(df, "s", "y", "id", (10, 100)).orderBy("percentage").collect()
-    assert [(g["claims_reviewed"], round(g["fraud_captured_percentage"], 6)) for g in gains] == [(1, 0.333333), (10, 1.0)]
-    deciles = portfolio.lift_by_decile(df, "s", "y", "id").orderBy("decile").collect()
-    assert len(deciles) == 10 and deciles[0]["fraud_cases"] == 1
+    assert [g["fraud_selected"] for g in gains] == [sum(ranked[:max(1, math.ceil(n / 10))]), total]
+    rows = portfolio.lift_by_decile(df, "s", "y", "id").orderBy("decile").collect()
+    assert [r["claims"] for r in rows] == [sum(math.ceil(rank * 10 / n) == d for rank in range(1, n + 1)) for d in range(1, 11)]
+    assert [r["fraud_cases"] for r in rows] == [sum(ranked[rank - 1] for rank in range(1, n + 1) if math.ceil(rank * 10 / n) == d) for d in range(1, 11)]
 
 
 def test_few_rows_leave_empty_deciles(spark):
@@ -102,7 +107,7 @@ def test_threshold_comes_from_validation(spark):
 
 
 def test_recall_takes_the_first_grid_point(spark):
-    df = frame(spark, LABELS, [i / 10 for i in range(10)])
+    df = frame(spark, [0, 1] * 5, [i / 10 for i in range(10)])
     assert thresholds.best_threshold(df, "s", "y", "recall").first()["threshold"] == 0.10
     assert thresholds.best_threshold(df, "s", "y", "anything").first()["threshold"] == 0.10
 

@@ -13,11 +13,16 @@ from triagelake.streaming import scoring
 SMALL = "/root/testdata/sf0.001"
 
 
-def test_queue_order(spark):
-    df = spark.createDataFrame([("B", 0, .2), ("A", 1, .8), ("C", 2, .5), ("10", 3, .5), ("2", 4, .5)], "ref string, row long, s double")
+def test_queue_order_by_sorting(spark):
+    draw = np.random.default_rng(8)
+    scores = draw.integers(0, 12, 300) / 11
+    names = [str(n) if n % 7 else " " for n in draw.integers(1, 90, 300)]  # repeats and blanks; text order, not number order
+    df = spark.createDataFrame([(names[i], i, float(scores[i])) for i in range(300)], "ref string, row long, s double")
     rows = queue.investigation_queue(df, "s", "row", "ref").orderBy("investigation_rank").collect()
-    assert [r["claim_id"] for r in rows] == ["A", "10", "2", "C", "B"]
-    assert [r["investigation_rank"] for r in rows] == [1, 2, 3, 4, 5]
+    claim = lambda i: names[i] if names[i].strip() else f"CLM-{i + 1:05d}"
+    expected = sorted(range(300), key=lambda i: (-scores[i], claim(i), i))
+    assert [r["source_row"] for r in rows] == expected and [r["claim_id"] for r in rows] == [claim(i) for i in expected]
+    assert [r["investigation_rank"] for r in rows] == list(range(1, 301))
 
 
 def test_equal_ids_fall_back_to_source_row(spark):
@@ -33,27 +38,28 @@ def test_empty_batch(spark):
 
 
 def arrays(spark, seed=0):
+    """Two overlapping clouds; every fifth of the rows is held for each of validation and test."""
     draw = np.random.default_rng(seed)
-    x = draw.normal(size=(180, 8))
-    y = [0, 0, 0, 1, 0, 0] * 30
-    names = [f"f{i}" for i in range(8)]
-    df = spark.createDataFrame([(i, y[i], *map(float, x[i] + y[i])) for i in range(180)],
+    y = (draw.random(200) < 0.25).astype(int)
+    x = draw.normal(size=(200, 5)) + y[:, None] * draw.uniform(0.5, 1.5, 5)
+    names = ["a", "b", "c", "d", "e"]
+    df = spark.createDataFrame([(i, int(y[i]), *map(float, x[i])) for i in range(200)],
                                "id long, y int, " + ", ".join(f"{n} double" for n in names))
-    part = lambda a, b: df.filter((F.col("id") >= a) & (F.col("id") < b))
-    return Prepared(part(0, 120), part(0, 120), part(120, 150), part(150, 180), None, names, df)
+    part = lambda *rest: df.filter((F.col("id") % 5).isin(*rest))
+    return Prepared(part(0, 1, 2), part(0, 1, 2), part(3), part(4), None, names, df)
 
 
 def test_benchmark_returns_all_metrics(spark):
     prepared = arrays(spark)
-    factories = models.registry("y", 120)
+    factories = models.registry("y", 120.0)
     assert list(factories) == models.MODEL_NAMES
     small = {"Logistic Regression": factories["Logistic Regression"], "Decision Tree": factories["Decision Tree"],
-             "SVM": lambda: models.CalibratedSVC("y", count=16),
+             "SVM": lambda: models.CalibratedSVC("y", count=16, folds=2),
              "Gradient Boosting": lambda: GBTClassifier(featuresCol="features", labelCol="y", maxIter=5, maxDepth=2)}
-    rows = models.run_benchmark(prepared, "y", "id", factories=small).collect()
+    rows = models.run_benchmark(prepared, "y", "id", factories=lambda _: small).collect()
     assert [r["model"] for r in rows] == list(small)
     for r in rows:
-        assert 0.10 <= r["threshold"] <= 0.90 and r["tn"] + r["fp"] + r["fn"] + r["tp"] == 30
+        assert 0.10 <= r["threshold"] <= 0.90 and r["tn"] + r["fp"] + r["fn"] + r["tp"] == 40
         assert r["roc_auc"] > 0.5 and all(0 <= r[m] <= 1 for m in ("accuracy", "precision", "recall", "f1", "pr_auc"))
 
 
@@ -80,7 +86,7 @@ def test_search_never_reads_test_rows(spark):
     search = jobs.staged_search(p.train, p.validation, p.features, "y", "id", [first, second])
     assert [r["candidate_id"] for r in search.results.orderBy("order_in_search").collect()] == ["a", "b", "c"]
     final = jobs.evaluate_winner_once(search, p.test, p.features, "y", "id").first()
-    assert final["candidate_id"] == search.best().candidate_id and final["tn"] + final["fp"] + final["fn"] + final["tp"] == 30
+    assert final["candidate_id"] == search.best().candidate_id and final["tn"] + final["fp"] + final["fn"] + final["tp"] == 40
     assert len(jobs.first_stage()) == 4 and len(jobs.second_stage(jobs.first_stage()[0])) == 3
 
 
@@ -93,7 +99,7 @@ def test_bundle_scoring_and_stream(spark, tmp_path):
     assert sorted(r["investigation_rank"] for r in ranked) == list(range(1, claims.count() + 1))
     with pytest.raises(ValueError, match="Sex"):
         jobs.score_claims(claims.drop("Sex"), bundle.fitted, bundle.model, "PolicyNumber")
-    bad = claims.withColumn("Age", F.lit("not-a-number"))
+    bad = claims.withColumn("Age", F.lit("about forty"))
     with pytest.raises(Exception, match="Age must be numeric"):
         jobs.probabilities(bad, bundle.fitted, bundle.model, ["PolicyNumber"]).collect()
 
@@ -122,3 +128,57 @@ def test_weighted_models_prefer_positives(spark):
     weighted = models.weighted_registry("y", "weight")["Logistic Regression"]().fit(train)
     mean = lambda m: models.scored(m, train, ["id"]).agg(F.avg("score")).first()[0]
     assert mean(weighted) > mean(plain)
+
+
+def test_weighted_benchmark_penalises_the_summed_weight(spark, monkeypatch):
+    from triagelake.plans import queries
+
+    seen = []
+    registry = models.weighted_registry
+    made = lambda *a, **k: seen.append(k["rows"]) or {"Logistic Regression": registry(*a, **k)["Logistic Regression"]}
+    monkeypatch.setattr(models, "weighted_registry", made)
+    row = queries.QUERIES["weighted_benchmark"](spark, SMALL).first()
+    train = queries.resample.prepare_claims(tt.contract_claims(spark, SMALL), ratio=None).train
+    total = models.with_class_weight(train, TARGET).agg(F.sum("weight")).first()[0]
+    assert seen == [total] and row["model"] == "Logistic Regression" and row["fit_seconds"] > 0
+    assert registry("y", "w", rows=total)["Logistic Regression"]().getRegParam() == 1 / total > 0
+
+
+def margins_of(spark, rows=600, seed=3):
+    draw = np.random.default_rng(seed)
+    y = (draw.random(rows) < 0.3).astype(int)
+    x = draw.normal(size=(rows, 12)) + 0.5 * y[:, None] * (np.arange(12) < 3)
+    names = [f"v{i}" for i in range(12)]
+    df = spark.createDataFrame([(i, int(y[i]), *map(float, x[i])) for i in range(rows)], "id long, y int, " + ", ".join(f"{n} double" for n in names))
+    return models.assembled(df.coalesce(1), names)
+
+
+def test_calibration_margins_are_out_of_fold(spark):
+    df = margins_of(spark, 200)
+    machine = models.CalibratedSVC("y", count=8, folds=3)
+    lifted = machine.raised(df)(df).persist()
+    seen = []
+
+    class Watched:
+        def fit(self, rows):
+            seen.append({tuple(r[0].toArray()) for r in rows.select("features").collect()})
+            return inner.fit(rows)
+
+    inner, machine.machine = machine.machine, Watched()
+    found = machine.margins(lifted)
+    assert found.count() == 200 and len(seen) == 3
+    folds = lifted.withColumn("fold", F.pmod(F.xxhash64(models.vector_to_array("features"), F.lit(machine.seed)), F.lit(3)))
+    for fold in range(3):
+        own = {tuple(r[0].toArray()) for r in folds.where(F.col("fold") == fold).select("features").collect()}
+        assert own and not own & seen[fold]
+
+
+def test_cross_fitted_curve_is_no_worse_on_new_rows(spark):
+    """With many features for few rows, margins of training rows are too good and make the curve too steep."""
+    train, fresh = margins_of(spark, 120, 4), margins_of(spark, 1000, 5)
+    loss = {}
+    for folds in (0, 3):
+        model = models.CalibratedSVC("y", count=64, folds=folds).fit(train)
+        p = F.col("score")
+        loss[folds] = models.scored(model, fresh, ["y"]).agg(F.avg((p - F.col("y")) ** 2)).first()[0]
+    assert loss[3] <= loss[0] + 1e-3, loss

@@ -40,10 +40,16 @@ def clean_claims(df: DataFrame, age_fill: float | Column) -> DataFrame:
     return df.withColumns(fixes)
 
 
+def finite_number(column: str) -> Column:
+    """Number, or null for what is none or not finite."""
+    value = F.col(column).try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def strict_numeric(column: str) -> Column:
     """Number or a runtime error naming the column."""
-    value = F.col(column).try_cast("double")
-    return F.when(value.isNotNull() & ~F.isnan(value), value).otherwise(
+    value = finite_number(column)
+    return F.when(value.isNotNull(), value).otherwise(
         F.raise_error(F.lit(f"{column} must be numeric")).cast("double"))
 
 
@@ -120,6 +126,20 @@ def positional_request_frame(df: DataFrame, values: str) -> DataFrame:
         f"Expected {len(FORM_FEATURES)} visible claim fields"))).otherwise(F.col("problems"))).drop("__size")
 
 
+def scoring_problems(features: list[str], categorical: list[str], bad_record: str | None = None) -> Column:
+    """Why a claim cannot be scored: an array that is empty for good rows.
+
+    A malformed record comes first and alone, since its other fields may be shifted. Otherwise
+    blank fields, then numbers that are not finite numbers. Unknown categories are no problem.
+    """
+    tests = [F.when(blank(c), F.lit(f"{c} is required")) for c in features]
+    for c in features:
+        if c not in categorical:
+            tests.append(F.when(~blank(c) & finite_number(c).isNull(), F.lit(f"{c} must be numeric")))
+    found = F.array_compact(F.array(*tests))
+    return F.when(F.col(bad_record).isNotNull(), F.array(F.lit("malformed record"))).otherwise(found) if bad_record else found
+
+
 def split_rejects(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with their problems)."""
     bad = F.size("problems") > 0

@@ -52,11 +52,38 @@ def _squared_pairs(left: np.ndarray, right: np.ndarray, rows: np.ndarray, others
     return total
 
 
-def _stack(vectors: pd.Series) -> np.ndarray:
+def block_best(here: np.ndarray, asker: np.ndarray, there: np.ndarray, who: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in here, place in there, distance) of the best k points for each query, itself left out.
+
+    ``who`` is sorted, so equal distances keep the order of ids.
+    """
+    step = max(1, 4_000_000 // len(there))
+    norms, rank = np.einsum("ij,ij->i", there, there), min(k, len(there)) - 1
+    picked_q, picked_p, picked_d = [], [], []
+    for start in range(0, len(here), step):
+        part = here[start:start + step]
+        sizes = np.einsum("ij,ij->i", part, part)
+        rough = sizes[:, None] + norms[None, :] - 2 * (part @ there.T)
+        rough[asker[start:start + step, None] == who[None, :]] = np.inf
+        # The product form is fast but rounds differently: it only preselects, with room
+        # for its error, and the selected pairs are measured again feature by feature.
+        room = 1e-8 + 1e-13 * part.shape[1] * (sizes + norms.max())
+        limit = np.partition(rough, rank, axis=1)[:, rank] + room
+        q, p = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+        d = np.round(_squared_pairs(part, there, q, p), DIGITS)
+        order = np.lexsort((p, d, q))  # p follows the id order
+        q, p, d = q[order], p[order], d[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = place < k
+        picked_q.append(q[keep] + start), picked_p.append(p[keep]), picked_d.append(d[keep])
+    return np.concatenate(picked_q), np.concatenate(picked_p), np.concatenate(picked_d)
+
+
+def stacked(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(float)
 
 
-def _fold_copies(points: DataFrame, k: int) -> DataFrame:
+def fold_copies(points: DataFrame, k: int) -> DataFrame:
     """One row per distinct vector with its k + 1 smallest ids."""
     # The partial window limit keeps k + 1 rows per vector and task before the shuffle.
     first = F.row_number().over(W.partitionBy("vec").orderBy("id"))
@@ -68,7 +95,7 @@ def _fold_copies(points: DataFrame, k: int) -> DataFrame:
 def _with_cells(folded: DataFrame, pivots: np.ndarray) -> DataFrame:
     @F.pandas_udf("cell int, reach double")
     def nearest(vec: pd.Series) -> pd.DataFrame:
-        distance = _squared(_stack(vec), pivots)
+        distance = _squared(stacked(vec), pivots)
         cell = distance.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"),
                              "reach": np.sqrt(distance[np.arange(len(cell)), cell])})
@@ -92,38 +119,18 @@ def _search(queries: DataFrame, points: DataFrame, blocks: dict[int, int], k: in
     left = queries.select(
         "cell", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), "pid", "vec",
         F.pmod(F.xxhash64("pid", "vec"), n_slices).cast("int").alias("slice"))
+    names = ["pid", "distance", "other", "other_vec", "other_ids"]
     schema = T.StructType([
         T.StructField("pid", queries.schema["pid"].dataType), T.StructField("distance", T.DoubleType()),
         T.StructField("other", queries.schema["pid"].dataType), T.StructField("other_vec", T.ArrayType(T.DoubleType())),
         T.StructField("other_ids", points.schema["ids"].dataType)])
-    names = [f.name for f in schema.fields]
 
     def best(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or held.empty:
             return pd.DataFrame({n: [] for n in names})
         held = held.sort_values("pid", ignore_index=True)
-        there, who = _stack(held["vec"]), held["pid"].to_numpy()
-        here, asker = _stack(asking["vec"]), asking["pid"].to_numpy()
-        step = max(1, 4_000_000 // len(there))
-        norms, rank = np.einsum("ij,ij->i", there, there), min(k, len(there)) - 1
-        picked_q, picked_p, picked_d = [], [], []
-        for start in range(0, len(here), step):
-            part = here[start:start + step]
-            sizes = np.einsum("ij,ij->i", part, part)
-            rough = sizes[:, None] + norms[None, :] - 2 * (part @ there.T)
-            rough[asker[start:start + step, None] == who[None, :]] = np.inf
-            # The product form is fast but rounds differently: it only preselects, with room
-            # for its error, and the selected pairs are measured again feature by feature.
-            room = 1e-8 + 1e-13 * part.shape[1] * (sizes + norms.max())
-            limit = np.partition(rough, rank, axis=1)[:, rank] + room
-            q, p = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
-            d = np.round(_squared_pairs(part, there, q, p), DIGITS)
-            order = np.lexsort((p, d, q))  # p follows the id order
-            q, p, d = q[order], p[order], d[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q)
-            keep = place < k
-            picked_q.append(q[keep] + start), picked_p.append(p[keep]), picked_d.append(d[keep])
-        q, p, d = np.concatenate(picked_q), np.concatenate(picked_p), np.concatenate(picked_d)
+        who, asker = held["pid"].to_numpy(), asking["pid"].to_numpy()
+        q, p, d = block_best(stacked(asking["vec"]), asker, stacked(held["vec"]), who, k)
         return pd.DataFrame({"pid": asker[q], "distance": d, "other": who[p],
                              "other_vec": held["vec"].to_numpy()[p], "other_ids": held["ids"].to_numpy()[p]})
 
@@ -131,7 +138,7 @@ def _search(queries: DataFrame, points: DataFrame, blocks: dict[int, int], k: in
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(best, schema)
 
 
-def _best_k(candidates: DataFrame, k: int) -> DataFrame:
+def best_k(candidates: DataFrame, k: int) -> DataFrame:
     place = F.row_number().over(W.partitionBy("pid").orderBy("distance", "other"))
     return candidates.withColumn("place", place).filter(F.col("place") <= k).drop("place")
 
@@ -142,7 +149,7 @@ def _visits(cells: DataFrame, bound: DataFrame, pivots: np.ndarray, reach: np.nd
 
     @F.pandas_udf("array<int>")
     def open_cells(vec: pd.Series, own: pd.Series, limit: pd.Series) -> pd.Series:
-        squared = _squared(_stack(vec), pivots)
+        squared = _squared(stacked(vec), pivots)
         distance = np.sqrt(squared)
         mine = own.to_numpy()
         home = squared[np.arange(len(mine)), mine]
@@ -165,7 +172,7 @@ def nearest_neighbours(df: DataFrame, row_id: str, vector: str, k: int = 5,
     Needs at least k + 1 rows. ``distance`` is the squared Euclidean distance.
     """
     points = df.select(F.col(row_id).alias("id"), F.col(vector).alias("vec"))
-    folded = stage(_fold_copies(points, k), "points")
+    folded = stage(fold_copies(points, k), "points")
     total = folded.count()
     if block_rows is None:  # small sets are cut finer, so that all cores take part
         cores = df.sparkSession.sparkContext.defaultParallelism
@@ -182,7 +189,7 @@ def nearest_neighbours(df: DataFrame, row_id: str, vector: str, k: int = 5,
     stats = cells.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("reach").alias("far"), F.min("reach").alias("near")).collect()
     blocks = {r["cell"]: math.ceil(r["n"] / block_rows) for r in stats}
-    found = _best_k(_search(cells.select("pid", "vec", "cell"), cells, blocks, k, block_rows), k)
+    found = best_k(_search(cells.select("pid", "vec", "cell"), cells, blocks, k, block_rows), k)
     if len(stats) > 1:
         found = stage(found, "near")
         reach, inner = np.zeros(len(pivots)), np.full(len(pivots), np.inf)
@@ -193,7 +200,12 @@ def nearest_neighbours(df: DataFrame, row_id: str, vector: str, k: int = 5,
         bound = found.groupBy("pid").agg(F.when(complete, F.max("distance")).alias("kth"))
         visits = stage(_visits(cells, bound, pivots, reach, inner), "visits")
         more = _search(visits, cells, blocks, k, block_rows)
-        found = _best_k(found.unionByName(more), k)
+        found = best_k(found.unionByName(more), k)
+    return with_copies(points, folded, found, k)
+
+
+def with_copies(points: DataFrame, folded: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """(id, vec, neighbours) of all points from the best ``found`` for one of each group of copies."""
     others = found.groupBy("pid").agg(F.collect_list(F.struct("distance", "other_ids", "other_vec")).alias("o"))
     entry = lambda d, i, v: F.struct(d.alias("distance"), i.alias("id"), v.alias("vec"))
     expanded = others.select("pid", F.flatten(F.transform("o", lambda s: F.transform(

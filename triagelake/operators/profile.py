@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.cleaning import numeric_age
-from ..functions.vocabulary import ORDINAL_START, ordinal_code
+from ..functions.vocabulary import ORDINAL_CODES, ordinal_code
 from .ordering import ROWS_PER_BIN, quantiles
 
 
@@ -131,7 +131,7 @@ def distinct_values(df: DataFrame, columns: list[str], first: int = 8) -> DataFr
 def anomaly_counts(df: DataFrame, age: str = "Age", weekday: str = "DayOfWeekClaimed",
                    banded: list[str] | None = None) -> DataFrame:
     """Age 0, claim weekday ``0``, answers without an ordinal code and nulls such a coding introduces."""
-    banded = list(ORDINAL_START) if banded is None else banded
+    banded = list(ORDINAL_CODES) if banded is None else banded
     number = F.coalesce(numeric_age(age) == 0, F.lit(False))
     unmapped: Column = F.lit(0)
     introduced: Column = F.lit(0)

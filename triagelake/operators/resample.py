@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..schema import CATEGORICAL_FEATURES, FEATURES, TARGET, require_training_columns
 from ..session import stage
 from .encode import Preprocessor, fit_preprocessor
+from .neighbour_index import approximate_neighbours
 from .neighbours import POINTS_PER_CELL, nearest_neighbours
 from .ordering import add_bins, find_cuts, locate_ranks
 from .split import SEED, stratified_split
 
 RATIO = 0.5
 NEIGHBOURS = 5
+#: Minority rows up to which their neighbours are searched exactly.
+EXACT_ROWS = 2_000_000
 
 
 def synthetic_total(majority: int, minority: int, ratio: float) -> int:
@@ -40,44 +43,77 @@ def _nth_id(ids: DataFrame, n: int):
     return locate_ranks(binned, lambda t: t.withColumn("wanted", F.array(F.lit(n).cast("long"))), ["id"]).first()["id"]
 
 
-def synthetic_rows(df: DataFrame, features: list[str], label: str, row_id: str, ratio: float = RATIO,
-                   k: int = NEIGHBOURS, seed: int = SEED, points_per_cell: int = POINTS_PER_CELL) -> DataFrame:
-    """New minority rows: base + u·(neighbour − base).
+@dataclass(frozen=True)
+class Oversampler:
+    """The minority's neighbours, searched once and written, from which any ratio is made."""
 
-    Every minority row is used equally often; the first ones in id order once more
-    until the total is reached. Copy ``m`` of a row uses its neighbour ``m mod k``.
-    Ids must be whole numbers. Columns: base id, neighbour id, copy, label, features.
+    rows: DataFrame
+    features: list[str]
+    label: str
+    row_id: str
+    near: DataFrame
+    minority: int
+    majority: int
+    k: int = NEIGHBOURS
+    seed: int = SEED
+
+    def synthetic(self, ratio: float) -> DataFrame:
+        """New minority rows: base + u·(neighbour − base).
+
+        Every minority row is used equally often; the first ones in id order once more until
+        the total is reached. Copy ``m`` of a row uses its neighbour ``m mod k``, so the rows of
+        a smaller ratio are among those of a larger one. Columns: base id, neighbour id, copy,
+        label, features.
+        """
+        total = synthetic_total(self.majority, self.minority, ratio)
+        extra = _nth_id(self.near.select("id"), total % self.minority)
+        copies = F.lit(total // self.minority)
+        if extra is not None:
+            copies = copies + (F.col("id") <= F.lit(extra)).cast("int")
+        made = self.near.withColumn("copies", copies).filter(F.col("copies") > 0).withColumn(
+            "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+        u = blend_weight(self.seed, F.col("id"), F.col("copy"))
+        made = made.withColumn("n", F.element_at("neighbours", F.col("copy") % self.k + 1)).withColumn("u", u)
+        value = lambda i: F.element_at("vec", i) + F.col("u") * (F.element_at("n.vec", i) - F.element_at("vec", i))
+        return made.select(
+            F.col("id").alias("base_id"), F.col("n.id").alias("neighbour_id"), "copy", F.lit(1).alias(self.label),
+            *[value(i + 1).alias(c) for i, c in enumerate(self.features)])
+
+    def oversampled(self, ratio: float) -> DataFrame:
+        """All original rows followed by the synthetic minority rows (column ``synthetic`` tells which)."""
+        original = self.rows.select(F.col(self.row_id).alias(self.row_id), F.col(self.label).cast("int").alias(self.label),
+                                    *self.features, F.lit(0).alias("synthetic"))
+        made = self.synthetic(ratio).select(F.col("base_id").alias(self.row_id), self.label, *self.features, F.lit(1).alias("synthetic"))
+        return original.unionByName(made)
+
+
+def oversampler(df: DataFrame, features: list[str], label: str, row_id: str, k: int = NEIGHBOURS, seed: int = SEED,
+                points_per_cell: int = POINTS_PER_CELL, exact_rows: int = EXACT_ROWS) -> Oversampler:
+    """Searches the neighbours of all minority rows, whose ids must be whole numbers.
+
+    A minority of more than ``exact_rows`` rows is searched through the projection index, whose
+    neighbours are approximate; below, the search is exact.
     """
     counts = df.agg(F.count_if(F.col(label) == 1).alias("minority"), F.count_if(F.col(label) == 0).alias("majority")).first()
-    minority, majority = counts["minority"], counts["majority"]
-    if minority < k + 1:
-        raise ValueError(f"oversampling needs at least {k + 1} minority rows, got {minority}")
-    total = synthetic_total(majority, minority, ratio)
+    if counts["minority"] < k + 1:
+        raise ValueError(f"oversampling needs at least {k + 1} minority rows, got {counts['minority']}")
     points = df.filter(F.col(label) == 1).select(
         F.col(row_id).alias("id"), F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
-    extra = _nth_id(points.select("id"), total % minority)
-    copies = F.lit(total // minority)
-    if extra is not None:
-        copies = copies + (F.col("id") <= F.lit(extra)).cast("int")
-    near = nearest_neighbours(points, "id", "vec", k, points_per_cell)
-    made = near.withColumn("copies", copies).filter(F.col("copies") > 0).withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    u = blend_weight(seed, F.col("id"), F.col("copy"))
-    made = made.withColumn("n", F.element_at("neighbours", F.col("copy") % k + 1)).withColumn("u", u)
-    value = lambda i: F.element_at("vec", i) + F.col("u") * (F.element_at("n.vec", i) - F.element_at("vec", i))
-    return made.select(
-        F.col("id").alias("base_id"), F.col("n.id").alias("neighbour_id"), "copy", F.lit(1).alias(label),
-        *[value(i + 1).alias(c) for i, c in enumerate(features)])
+    if counts["minority"] > exact_rows:
+        near = approximate_neighbours(points, "id", "vec", k)
+    else:
+        near = nearest_neighbours(points, "id", "vec", k, points_per_cell)
+    return Oversampler(df, list(features), label, row_id, stage(near, "neighbours"), counts["minority"], counts["majority"], k, seed)
+
+
+def synthetic_rows(df: DataFrame, features: list[str], label: str, row_id: str, ratio: float = RATIO,
+                   k: int = NEIGHBOURS, seed: int = SEED, points_per_cell: int = POINTS_PER_CELL) -> DataFrame:
+    return oversampler(df, features, label, row_id, k, seed, points_per_cell).synthetic(ratio)
 
 
 def oversample(df: DataFrame, features: list[str], label: str, row_id: str, ratio: float = RATIO,
                k: int = NEIGHBOURS, seed: int = SEED, points_per_cell: int = POINTS_PER_CELL) -> DataFrame:
-    """All original rows followed by the synthetic minority rows (column ``synthetic`` tells which)."""
-    original = df.select(F.col(row_id).alias(row_id), F.col(label).cast("int").alias(label), *features,
-                         F.lit(0).alias("synthetic"))
-    made = synthetic_rows(df, features, label, row_id, ratio, k, seed, points_per_cell)
-    made = made.select(F.col("base_id").alias(row_id), label, *features, F.lit(1).alias("synthetic"))
-    return original.unionByName(made)
+    return oversampler(df, features, label, row_id, k, seed, points_per_cell).oversampled(ratio)
 
 
 @dataclass(frozen=True)

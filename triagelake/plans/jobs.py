@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
+from functools import partial
 
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.cleaning import strict_numeric
+from ..functions.cleaning import finite_number, scoring_problems, split_rejects, strict_numeric
 from ..functions.policy import OPERATING_THRESHOLD
 from ..operators import models
 from ..operators.encode import Preprocessor, fit_preprocessor
 from ..operators.metrics import evaluate
 from ..operators.portfolio import ROUNDING_RULE, capacity_summary, cumulative_gains, lift_by_decile
 from ..operators.queue import investigation_queue
-from ..operators.resample import RATIO, oversample, prepare_claims
+from ..operators.resample import RATIO, oversample, oversampler, prepare_claims
 from ..operators.selection import require_winner
 from ..operators.split import SEED, stratified_split
 from ..operators.thresholds import validation_records
@@ -26,27 +28,64 @@ from ..session import stage
 from ..sources.tables import load_preprocessor, save_preprocessor, write_metadata, write_report
 
 
-def probabilities(df: DataFrame, fitted: Preprocessor, model: Transformer, keep: list[str]) -> DataFrame:
-    """Stored parameters and model applied to raw claims; works on streaming frames too."""
+def probabilities(df: DataFrame, fitted: Preprocessor, model: Transformer, keep: list[str], on_bad: str = "raise") -> DataFrame:
+    """Stored parameters and model applied to raw claims; works on streaming frames too.
+
+    ``on_bad`` says what a missing or malformed number does: ``raise`` stops the job and names
+    the column, ``null`` gives the row no score, ``fill`` puts the training mean in its place.
+    Unknown and missing categories are coded as unseen in all modes.
+    """
+    if on_bad not in ("raise", "null", "fill"):
+        raise ValueError("on_bad is raise, null or fill")
     require_columns(df, fitted.features, "required claim fields")
     rows = df.select(*[F.col(c).alias(f"__keep_{c}") for c in keep], *fitted.features)
-    if "Age" in fitted.features and fitted.age_fill is not None:
-        rows = rows.withColumn("Age", strict_numeric("Age"))
-    vectors = models.assembled(fitted.transform(rows), fitted.features)
-    out = model.transform(vectors)
+    numbers = {c: strict_numeric(c) if on_bad == "raise" else finite_number(c) for c in fitted.numeric}
+    bad = F.lit(False)
+    for c in fitted.numeric:
+        bad = bad | finite_number(c).isNull()
+    encoded = fitted.transform(rows.withColumn("__bad", bad).withColumns(numbers))
+    # After scaling the training mean is 0.
+    filled = encoded.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in fitted.numeric})
+    out = model.transform(models.assembled(filled, fitted.features))
+    score = vector_to_array("probability")[1]
     return out.select(*[F.col(f"__keep_{c}").alias(c) for c in keep],
-                      vector_to_array("probability")[1].alias(models.SCORE))
+                      (F.when(~F.col("__bad"), score) if on_bad == "null" else score).alias(models.SCORE))
 
 
 def score_claims(df: DataFrame, fitted: Preprocessor, model: Transformer, source_row: str,
-                 reference: str | None = "PolicyNumber") -> DataFrame:
-    """Claims to ranked queue. A label column is allowed and never read."""
+                 reference: str | None = "PolicyNumber", on_bad: str = "raise") -> DataFrame:
+    """Claims to ranked queue. A label column is allowed and never read. ``on_bad`` is ``raise`` or ``fill``."""
     reference = reference if reference in df.columns else None
     keep = list(dict.fromkeys([source_row] + ([reference] if reference else [])))
-    scores = stage(probabilities(df, fitted, model, keep), "scores")  # ranking samples its input first
+    scores = stage(probabilities(df, fitted, model, keep, on_bad), "scores")  # ranking samples its input first
     return investigation_queue(scores, models.SCORE, source_row, reference)
 
 
+def checked_upload(df: DataFrame, features: list[str] = FEATURES, categorical: list[str] = CATEGORICAL_FEATURES,
+                   bad_record: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(claims that can be scored, rejected claims with their ``problems``), from one written table."""
+    require_columns(df, features, "required claim fields")
+    problems = scoring_problems(features, categorical, bad_record if bad_record in df.columns else None)
+    good, bad = split_rejects(stage(df.withColumn("problems", problems), "checked"))
+    return (good.drop(bad_record) if bad_record else good), bad
+
+
+@dataclass(frozen=True)
+class ScoredUpload:
+    """Ranked queue of the claims that could be scored, and the others with reasons."""
+
+    queue: DataFrame
+    rejects: DataFrame
+
+
+def score_upload(df: DataFrame, fitted: Preprocessor, model: Transformer, source_row: str,
+                 reference: str | None = "PolicyNumber", bad_record: str | None = "bad_record") -> ScoredUpload:
+    """Score whatever can be scored; every row of ``df`` is in exactly one of the two outputs."""
+    good, bad = checked_upload(df, fitted.features, fitted.categorical, bad_record)
+    kept = [c for c in dict.fromkeys([source_row, reference, bad_record]) if c in bad.columns]
+    return ScoredUpload(score_claims(good, fitted, model, source_row, reference), bad.select(*kept, "problems"))
+
+
 @dataclass(frozen=True)
 class Bundle:
     fitted: Preprocessor
@@ -137,38 +176,62 @@ class Search:
         return self.configurations[require_winner(rows, "order_in_search").first()["candidate_id"]]
 
 
+def side_by_side(spark: SparkSession, work: list[Callable[[], object]], pool: str) -> list:
+    """Results of driver-side functions that run Spark jobs at the same time, each in a scheduler pool of its own.
+
+    With the fair scheduler the pools share the cluster; otherwise jobs fill what earlier ones leave idle.
+    """
+    def run(k: int) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{pool}-{k}")
+        return work[k]()
+
+    with ThreadPoolExecutor(max(1, len(work))) as threads:
+        return list(threads.map(run, range(len(work))))
+
+
 def staged_search(train: DataFrame, validation: DataFrame, features: list[str], label: str, row_id: str,
                   stages: list | None = None, around_stage_winner: bool = False, seed: int = SEED) -> Search:
     """Three rounds of candidates, each built around the best configuration so far.
 
-    ``train`` holds scaled rows without oversampling. ``around_stage_winner`` builds the
-    next round around the winner of the last round instead of the overall winner.
+    ``train`` holds scaled rows without oversampling; neighbours are searched once for all
+    ratios, and each ratio's rows are written once. The candidates of a round are fitted side
+    by side, and one pass over their scores gives the records of all. ``around_stage_winner``
+    builds the next round around the winner of the last round instead of the overall winner.
     """
     models.require_rows(train=train, validation=validation)
+    spark = train.sparkSession
     stages = stages or [lambda _: first_stage(), second_stage, third_stage]
     held = stage(models.assembled(validation, features), "held")
+    made = oversampler(stage(train, "search-train"), features, label, row_id, seed=seed)
     by_ratio: dict[float, DataFrame] = {}
     search, best, order = Search(None, {}, {}), None, 0
-    for make in stages:
-        ids = []
-        for candidate in make(best):
-            ids.append(candidate.candidate_id)
-            ratio = candidate.smote_ratio
+    for number, make in enumerate(stages):
+        candidates = make(best)
+        for ratio in dict.fromkeys(c.smote_ratio for c in candidates):
             if ratio not in by_ratio:
-                by_ratio[ratio] = stage(models.assembled(
-                    oversample(train, features, label, row_id, ratio, seed=seed), features), "train")
-            rows = repeated_positives(by_ratio[ratio], label, candidate.fraud_class_weight)
-            model = models.network(label, len(features), candidate.hidden_layers, candidate.iterations, seed).fit(rows)
-            scored = stage(models.scored(model, held, [row_id, label]).withColumn(
-                "candidate_id", F.lit(candidate.candidate_id)), "scores")
-            record = validation_records(scored, models.SCORE, label, ["candidate_id"]).first().asDict()
-            row = train.sparkSession.createDataFrame([tuple({**asdict(candidate), **record, "order_in_search": order}[
-                c.split()[0]] for c in models.CANDIDATE_SCHEMA.split(", "))], models.CANDIDATE_SCHEMA)
-            search.results = row if search.results is None else search.results.unionByName(row)
+                by_ratio[ratio] = stage(models.assembled(made.oversampled(ratio), features).select(label, "features"), "train")
+
+        def fit(candidate: models.Candidate) -> Transformer:
+            rows = repeated_positives(by_ratio[candidate.smote_ratio], label, candidate.fraud_class_weight)
+            return models.network(label, len(features), candidate.hidden_layers, candidate.iterations, seed).fit(rows)
+
+        fitted = side_by_side(spark, [partial(fit, c) for c in candidates], f"search-{number}")
+        scored, rows = None, []
+        for candidate, model in zip(candidates, fitted):
+            part = models.scored(model, held, [row_id, label]).withColumn("candidate_id", F.lit(candidate.candidate_id))
+            scored = part if scored is None else scored.unionByName(part)
             search.configurations[candidate.candidate_id] = candidate
             search.fitted[candidate.candidate_id] = model
+        # One row per candidate.
+        records = {r["candidate_id"]: r.asDict() for r in validation_records(
+            stage(scored, "scores"), models.SCORE, label, ["candidate_id"]).collect()}
+        for candidate in candidates:
+            values = {**asdict(candidate), **records[candidate.candidate_id], "order_in_search": order}
+            rows.append(tuple(values[c.split()[0]] for c in models.CANDIDATE_SCHEMA.split(", ")))
             order += 1
-        best = search.best(ids if around_stage_winner else None)
+        table = spark.createDataFrame(rows, models.CANDIDATE_SCHEMA)
+        search.results = table if search.results is None else search.results.unionByName(table)
+        best = search.best([c.candidate_id for c in candidates] if around_stage_winner else None)
     return search
 
 

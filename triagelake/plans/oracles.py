@@ -6,16 +6,44 @@ other forms that are fine for a small check and wrong at scale.
 
 from __future__ import annotations
 
-from ..functions.cleaning import AGE_BANDS, FORM_FEATURES
-from ..functions.policy import BANDS, DISCLAIMER, OPERATING_THRESHOLD
-from ..functions.vocabulary import FORM_ORDER, HIDDEN_ANSWERS, ORDINAL_START, ordinal_map
-from ..operators.portfolio import CAPACITY_PERCENTAGES, GAINS_PERCENTAGES, ROUNDING_RULE
-from ..operators.thresholds import REPORT_GRID
 from ..schema import CATEGORICAL_FEATURES, FEATURES, IDENTIFIERS, TARGET
 from ..sources.testtables import CONTRACT_SQL, CORE_SQL, LABEL, SCORE, WIDE_SQL
 
 ORACLES: dict[str, str] = {}
 
+# Fixed values of the contract, stated here once more so that a wrong table of the library shows.
+THRESHOLD = 0.24
+LIMITS = [0.24, 0.40, 0.50]
+BAND_TEXTS = {
+    "risk_band": ["Lower Fraud Risk", "Elevated Fraud Risk", "High Review Priority", "Very High Review Priority"],
+    "review_priority": ["Standard", "Elevated", "High", "Priority"],
+    "recommended_action": ["Standard Claim Processing", "Additional Verification", "Fraud Analyst Review",
+                           "Priority Fraud Investigation"],
+    "business_interpretation": [
+        "The model score is below the validated fraud-review threshold. Continue normal verification and processing.",
+        "Perform enhanced standard checks, including supporting-document, policy-information, and claim-detail verification.",
+        "Route the claim to the fraud team's investigation queue for analyst review.",
+        "Give the claim higher priority within the fraud-investigation queue."],
+}
+DISCLAIMER = "This model provides a risk signal for investigation support and does not establish that a claim is fraudulent."
+AGE_CASE = ("CASE WHEN {a} = 0 THEN '16 to 17' WHEN {a} < 16 THEN NULL WHEN {a} <= 17 THEN '18 to 20' WHEN {a} <= 20 THEN '21 to 25' "
+            "WHEN {a} <= 25 THEN '26 to 30' WHEN {a} <= 35 THEN '31 to 35' WHEN {a} <= 45 THEN '36 to 40' WHEN {a} <= 55 THEN '41 to 50' "
+            "WHEN {a} <= 65 THEN '51 to 65' WHEN {a} <= 80 THEN 'over 65' END")
+CODES = {  # answers in the order of their codes, with the first code
+    "VehiclePrice": (1, "less than 20000|20000 to 29000|30000 to 39000|40000 to 59000|60000 to 69000|more than 69000"),
+    "Days_Policy_Accident": (0, "none|1 to 7|8 to 15|15 to 30|more than 30"),
+    "Days_Policy_Claim": (0, "none|8 to 15|15 to 30|more than 30"),
+    "PastNumberOfClaims": (0, "none|1|2 to 4|more than 4"),
+    "AgeOfVehicle": (0, "new||2 years|3 years|4 years|5 years|6 years|7 years|more than 7"),
+    "AgeOfPolicyHolder": (1, "16 to 17|18 to 20|21 to 25|26 to 30|31 to 35|36 to 40|41 to 50|51 to 65|over 65"),
+    "NumberOfSuppliments": (0, "none|1 to 2|3 to 5|more than 5"),
+    "AddressChange_Claim": (0, "no change|under 6 months|1 year|2 to 3 years|4 to 8 years"),
+    "NumberOfCars": (1, "1 vehicle|2 vehicles|3 to 4|5 to 8|more than 8"),
+}
+FORM_LISTS = {c: [a for a in answers.split("|") if a and a != "18 to 20"] for c, (_, answers) in CODES.items()} | {
+    c: "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec".split("|") for c in ("Month", "MonthClaimed")} | {
+    c: "Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday".split("|") for c in ("DayOfWeek", "DayOfWeekClaimed")}
+
 CORE = f"core AS ({CORE_SQL})"
 WIDE = f"wide AS ({WIDE_SQL})"
 CONTRACT = f"contract AS ({CONTRACT_SQL})"
@@ -32,10 +60,6 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def quoted(values) -> str:
-    return ", ".join(text(v) for v in values)
-
-
 def union(parts) -> str:
     return " UNION ALL ".join(parts)
 
@@ -120,7 +144,7 @@ def capacity_sql(percentages) -> str:
 CAPACITY_COLUMNS = (
     "SELECT percentage, k AS claims_reviewed, s::BIGINT AS fraud_selected, n::BIGINT AS total_claims, "
     "f::BIGINT AS total_fraud, round(s / f::DOUBLE, 9) AS fraud_capture, round(s / k::DOUBLE, 9) AS precision, "
-    f"round((s / k::DOUBLE) / (f / n::DOUBLE), 9) AS lift, '{ROUNDING_RULE}' AS rounding FROM got")
+    f"round((s / k::DOUBLE) / (f / n::DOUBLE), 9) AS lift, 'ceil(K% × total claims)' AS rounding FROM got")
 
 
 def ranking_parts(base: str, score: str, by: str) -> list[str]:
@@ -167,16 +191,13 @@ def counts_sql(base: str, score: str, threshold: str, by: str = "") -> str:
             f"count(*) FILTER (WHERE {score} >= {threshold} AND label = 1) AS tp FROM {base}{group}")
 
 
-def band_case(score: str, field: int) -> str:
-    whens = " ".join(f"WHEN {score} < {b[0]}::DOUBLE THEN {text(b[field])}" for b in BANDS[:-1])
-    return f"CASE {whens} ELSE {text(BANDS[-1][field])} END"
-
-
-AGE_CASE = ("CASE WHEN {a} = 0 THEN '16 to 17' WHEN {a} < 16 THEN NULL "
-            + " ".join(f"WHEN {{a}} <= {high} THEN '{name}'" for high, name in AGE_BANDS) + " END")
+def band_case(score: str, field: str) -> str:
+    texts = BAND_TEXTS[field]
+    whens = " ".join(f"WHEN {score} < {limit}::DOUBLE THEN {text(t)}" for limit, t in zip(LIMITS, texts))
+    return f"CASE {whens} ELSE {text(texts[-1])} END"
 
 
-# ---- sources ---------------------------------------------------------------------------
+# ---- sources -----------------------------------------------------------------------------
 
 ALL = [*FEATURES, *IDENTIFIERS, TARGET]
 ORACLES["claims_scan"] = with_(CONTRACT) + f"SELECT {', '.join(ALL)} FROM contract"
@@ -220,7 +241,7 @@ ORACLES["positional_requests"] = with_(CONTRACT, REQUESTS) + (
     "SELECT PolicyNumber, CASE WHEN PolicyNumber % 3 < 2 THEN Make END AS Make, "
     "CASE WHEN PolicyNumber % 3 < 2 THEN BasePolicy END AS BasePolicy, "
     f"CASE PolicyNumber % 3 WHEN 0 THEN AgeOfPolicyHolder WHEN 1 THEN {BAND} END AS AgeOfPolicyHolder, "
-    f"CASE WHEN PolicyNumber % 3 = 2 THEN 'Expected {len(FORM_FEATURES)} visible claim fields' "
+    f"CASE WHEN PolicyNumber % 3 = 2 THEN 'Expected 28 visible claim fields' "
     "ELSE concat_ws('; ', CASE WHEN Sex IS NULL THEN 'Sex is required' END, "
     "CASE WHEN trim(Age) = '' THEN 'Age is required' END, "
     "CASE WHEN try_cast(Age AS DOUBLE) IS NULL AND trim(Age) <> '' THEN 'Age must be numeric' END, "
@@ -229,6 +250,11 @@ ORACLES["positional_requests"] = with_(CONTRACT, REQUESTS) + (
     "FROM requests")
 ORACLES["rejects"] = with_(CONTRACT, REQUESTS) + (
     f"SELECT PolicyNumber, {problems('')} AS problems FROM requests WHERE {problems('')} <> ''")
+ORACLES["scoring_rejects"] = with_(CONTRACT, "checked AS (SELECT PolicyNumber, PolicyNumber % 113 = 0 AS malformed, "
+    "CASE WHEN PolicyNumber % 113 = 0 THEN 'malformed record' ELSE concat_ws('; ', CASE WHEN PolicyNumber % 107 = 0 THEN 'Sex is required' END, "
+    "CASE WHEN PolicyNumber % 109 = 0 THEN 'DriverRating is required' END, "
+    "CASE WHEN PolicyNumber % 103 = 0 OR PolicyNumber % 101 = 0 THEN 'Age must be numeric' END) END AS problems FROM contract)") + (
+    "SELECT * FROM checked WHERE problems <> ''")
 ORACLES["clean_claims"] = with_(CONTRACT) + (
     "SELECT PolicyNumber, CASE WHEN DayOfWeekClaimed = '0' THEN 'Unknown' ELSE DayOfWeekClaimed END AS DayOfWeekClaimed, "
     "CASE WHEN MonthClaimed = '0' THEN 'Unknown' ELSE MonthClaimed END AS MonthClaimed, "
@@ -304,17 +330,17 @@ ORACLES["category_lists"] = with_(CONTRACT) + union(
     f"SELECT '{c}' AS feature, v AS value, (row_number() OVER (ORDER BY v) - 1)::INTEGER AS code "
     f"FROM (SELECT DISTINCT {c} AS v FROM contract)" for c in CATEGORICAL_FEATURES)
 ORACLES["ordinal_codes"] = with_(CONTRACT) + "SELECT PolicyNumber, " + ", ".join(
-    f"CASE {c} " + " ".join(f"WHEN {text(a)} THEN {k}" for a, k in ordinal_map(c).items()) + f" END AS {c}"
-    for c in ORDINAL_START) + " FROM contract"
+    f"CASE {c} " + " ".join(f"WHEN {text(a)} THEN {first + k}" for k, a in enumerate(answers.split("|")) if a) + f" END AS {c}"
+    for c, (first, answers) in CODES.items()) + " FROM contract"
 ORACLES["label_codes"] = with_(WIDE, *code_parts("wide", "wide", CATEGORIES)) + (
     "SELECT claim_id, " + ", ".join(f"{c}::INTEGER AS {c}" for c in CATEGORIES) + " FROM coded")
-_FREE = [c for c in CATEGORICAL_FEATURES if c not in FORM_ORDER]
+_FREE = [c for c in CATEGORICAL_FEATURES if c not in FORM_LISTS]
 ORACLES["category_dictionary"] = with_(CONTRACT) + union(
     [f"SELECT '{c}' AS feature, (row_number() OVER (ORDER BY v) - 1)::INTEGER AS position, "
      f"CASE WHEN v = 'Porche' THEN 'Porsche' ELSE v END AS answer FROM (SELECT DISTINCT {c} AS v FROM contract "
-     f"WHERE {c} NOT IN ({quoted(HIDDEN_ANSWERS)}))" for c in _FREE]
-    + [f"SELECT '{c}', {i}, {text(v)}" for c in CATEGORICAL_FEATURES if c in FORM_ORDER
-       for i, v in enumerate([v for v in FORM_ORDER[c] if v not in HIDDEN_ANSWERS])])
+     f"WHERE {c} NOT IN ('Unknown', '18 to 20'))" for c in _FREE]
+    + [f"SELECT '{c}', {i}, {text(v)}" for c in CATEGORICAL_FEATURES if c in FORM_LISTS
+       for i, v in enumerate(FORM_LISTS[c])])
 ORACLES["scaler_params"] = with_(*FITTED) + union(
     f"SELECT '{c}' AS feature, round(m_{c}, 4) AS mean, round(d_{c}, 4) AS deviation FROM params" for c in MODEL)
 ORACLES["scaled_features"] = with_(*SCALED) + "SELECT claim_id, split, " + ", ".join(
@@ -333,6 +359,7 @@ ORACLES["neighbours"] = with_(
     "FROM p x JOIN p y ON x.id <> y.id)",
     "r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, other) AS place FROM d)") + (
     "SELECT id AS claim_id, place::INTEGER AS place, other AS neighbour_id, round(dist, 6) AS distance FROM r WHERE place <= 5")
+ORACLES["neighbour_index"] = ORACLES["neighbours"]
 _SQUARES = " + ".join(f"(x.{c} - y.{c}) * (x.{c} - y.{c})" for c in MODEL)
 SMOTE = SCALED + [
     "minor AS (SELECT *, row_number() OVER (ORDER BY claim_id) - 1 AS j FROM scaled WHERE split = 'train' AND label = 1)",
@@ -360,7 +387,7 @@ ORACLES["prepared_training"] = _TRAIN + (
 
 # ---- metrics and thresholds ------------------------------------------------------------------------------
 
-ORACLES["confusion"] = with_(CORE) + counts_sql("core", "score", f"{OPERATING_THRESHOLD}::DOUBLE")
+ORACLES["confusion"] = with_(CORE) + counts_sql("core", "score", f"{THRESHOLD}::DOUBLE")
 _ONE = "one AS (SELECT 0 AS m, score, label FROM core)"
 ORACLES["metrics_at_threshold"] = with_(
     CORE, _ONE, *ranking_parts("one", "score", "m"), f"k AS ({counts_sql('core', 'score', '0.5::DOUBLE')})") + (
@@ -387,7 +414,7 @@ ORACLES["best_threshold"] = with_(CORE, *sweep_parts("core", "score")) + union(
 ORACLES["threshold_sensitivity"] = with_(CORE, *sweep_parts("core", "score", None, PLOT)) + (
     "SELECT grid_index, round(t, 9) AS threshold, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1 FROM swept")
 ORACLES["threshold_table"] = with_(CORE) + union(
-    f"SELECT {t}::DOUBLE AS threshold, {RATIOS} FROM ({counts_sql('core', 'score', f'{t}::DOUBLE')})" for t in REPORT_GRID)
+    f"SELECT {t}::DOUBLE AS threshold, {RATIOS} FROM ({counts_sql('core', 'score', f'{t}::DOUBLE')})" for t in (0.20, 0.25, 0.30, 0.35, 0.40, 0.50))
 ORACLES["frozen_threshold"] = with_(
     CORE, *split_parts("core", "label", "claim_id"), "valid AS (SELECT * FROM assigned WHERE split = 'validation')",
     "one AS (SELECT 0 AS m, score, label FROM assigned WHERE split = 'test')", *sweep_parts("valid", "score"),
@@ -399,8 +426,8 @@ ORACLES["frozen_threshold"] = with_(
 # ---- portfolio ------------------------------------------------------------------------------------------------
 
 ORACLES["top_k"] = capacity_sql((2.5,)) + CAPACITY_COLUMNS
-ORACLES["capacity_summary"] = capacity_sql(CAPACITY_PERCENTAGES) + CAPACITY_COLUMNS
-ORACLES["cumulative_gains"] = capacity_sql(GAINS_PERCENTAGES) + (
+ORACLES["capacity_summary"] = capacity_sql((1, 5, 10, 20)) + CAPACITY_COLUMNS
+ORACLES["cumulative_gains"] = capacity_sql((1, 5, 10, 20, 30, 50, 100)) + (
     "SELECT percentage, k AS claims_reviewed, s::BIGINT AS fraud_selected, f::BIGINT AS total_fraud, "
     "round(s / f::DOUBLE, 9) AS fraud_captured_percentage FROM got")
 ORACLES["lift_by_decile"] = ORACLES["report_roundtrip"]
@@ -415,10 +442,10 @@ ORACLES["scored_label_join"] = with_(CORE) + "SELECT claim_id, label, round(scor
 # ---- policy and queue ---------------------------------------------------------------------------------------------
 
 ORACLES["risk_decisions"] = with_(CORE) + (
-    f"SELECT claim_id, round(score, 9) AS fraud_probability, {OPERATING_THRESHOLD}::DOUBLE AS operating_threshold, "
-    f"score >= {OPERATING_THRESHOLD}::DOUBLE AS above_operating_threshold, {band_case('score', 1)} AS risk_band, "
-    f"{band_case('score', 2)} AS review_priority, {band_case('score', 3)} AS recommended_action, "
-    f"{band_case('score', 4)} AS business_interpretation, {text(DISCLAIMER)} AS disclaimer FROM core")
+    f"SELECT claim_id, round(score, 9) AS fraud_probability, {THRESHOLD}::DOUBLE AS operating_threshold, "
+    f"score >= {THRESHOLD}::DOUBLE AS above_operating_threshold, {band_case('score', 'risk_band')} AS risk_band, "
+    f"{band_case('score', 'review_priority')} AS review_priority, {band_case('score', 'recommended_action')} AS recommended_action, "
+    f"{band_case('score', 'business_interpretation')} AS business_interpretation, {text(DISCLAIMER)} AS disclaimer FROM core")
 ORACLES["invalid_scores"] = with_(CORE) + (
     "SELECT claim_id FROM core WHERE claim_id % 50 = 0 OR score * 1.4::DOUBLE - 0.2::DOUBLE < 0 OR score * 1.4::DOUBLE - 0.2::DOUBLE > 1")
 ORACLES["context_cues"] = with_(CONTRACT) + (
@@ -464,21 +491,21 @@ _NAMED = ("named AS (SELECT *, CASE WHEN trim(reference_id) <> '' THEN reference
 _QUEUE = with_(CORE, _REFERENCE, _NAMED, "queued AS (SELECT *, row_number() OVER (ORDER BY score DESC, claim_id, source_row) AS investigation_rank FROM named)")
 ORACLES["investigation_queue"] = _QUEUE + (
     "SELECT investigation_rank, claim_id, source_row, reference_id, round(score, 9) AS fraud_probability, "
-    f"score >= {OPERATING_THRESHOLD}::DOUBLE AS above_operating_threshold, {band_case('score', 1)} AS risk_band FROM queued")
+    f"score >= {THRESHOLD}::DOUBLE AS above_operating_threshold, {band_case('score', 'risk_band')} AS risk_band FROM queued")
 ORACLES["queue_view"] = _QUEUE + (
     'SELECT investigation_rank AS "Rank", claim_id AS "Claim Reference", round(score, 9) AS "Fraud Probability", '
-    f'{band_case("score", 1)} AS "Risk Band", {band_case("score", 2)} AS "Review Priority", '
-    f'{band_case("score", 3)} AS "Recommended Action" FROM queued')
+    f'{band_case("score", "risk_band")} AS "Risk Band", {band_case("score", "review_priority")} AS "Review Priority", '
+    f'{band_case("score", "recommended_action")} AS "Recommended Action" FROM queued')
 ORACLES["batch_summary"] = with_(CORE) + (
-    f"SELECT count(*) AS scored, count(*) FILTER (WHERE score >= {OPERATING_THRESHOLD}::DOUBLE) AS above, "
-    f"concat(count(*), ' claims scored. ', count(*) FILTER (WHERE score >= {OPERATING_THRESHOLD}::DOUBLE), "
+    f"SELECT count(*) AS scored, count(*) FILTER (WHERE score >= {THRESHOLD}::DOUBLE) AS above, "
+    f"concat(count(*), ' claims scored. ', count(*) FILTER (WHERE score >= {THRESHOLD}::DOUBLE), "
     "' claims are at or above the validated operating threshold of 0.24. Rows are ranked by model score descending; "
     "this is an advisory queue for human investigation.') AS message FROM core")
 ORACLES["prediction_check"] = with_(CORE) + (
     "SELECT claim_id, CASE WHEN score >= 0.4::DOUBLE THEN 'FRAUD' ELSE 'LEGIT' END AS decision, "
     "CASE WHEN label = 1 THEN 'FRAUD' ELSE 'LEGIT' END AS actual, (score >= 0.4::DOUBLE) = (label = 1) AS correct FROM core")
 ORACLES["streamed_decisions"] = (
-    f"SELECT o_orderkey AS claim_id, round({SCORE}, 9) AS fraud_probability, {band_case(f'({SCORE})', 1)} AS risk_band FROM orders")
+    f"SELECT o_orderkey AS claim_id, round({SCORE}, 9) AS fraud_probability, {band_case(f'({SCORE})', 'risk_band')} AS risk_band FROM orders")
 
 # ---- selection among candidate scores ------------------------------------------------------------------------------------
 

@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import cleaning, policy
-from ..functions.vocabulary import ORDINAL_START, ordinal_code
+from ..functions.vocabulary import ORDINAL_CODES, ordinal_code
 from ..operators import (
     encode, metrics, models, portfolio, profile, queue, resample, selection, split, thresholds)
+from ..operators.neighbour_index import approximate_neighbours
 from ..operators.neighbours import nearest_neighbours
 from ..schema import CATEGORICAL_FEATURES, FEATURES, IDENTIFIERS, TARGET
 from ..session import stage, staging_folder
@@ -170,6 +171,25 @@ def rejects(spark, folder):
     return bad.select("PolicyNumber", F.array_join("problems", "; ").alias("problems"))
 
 
+def _bad_upload(spark, folder):
+    """Claims as an uploaded file with malformed, missing and unusable fields."""
+    k = F.col("PolicyNumber")
+    spoiled = tt.contract_claims(spark, folder).select(*FEATURES, "PolicyNumber").withColumns({
+        "Deductible": F.when(k % 113 == 0, "4oo").otherwise(F.col("Deductible").cast("string")),
+        "DriverRating": F.when(k % 109 != 0, F.col("DriverRating")), "Sex": F.when(k % 107 != 0, F.col("Sex")),
+        "Age": F.when(k % 103 == 0, "NaN").when(k % 101 == 0, "forty").otherwise(F.col("Age").cast("string"))})
+    path = scratch(spark, "bad-upload")
+    tables.write_report(spoiled, path)
+    return tables.read_upload(spark, path, bad_record="bad_record")
+
+
+@query
+def scoring_rejects(spark, folder):
+    """Claims of an upload that cannot be scored, with reasons."""
+    _, bad = jobs.checked_upload(_bad_upload(spark, folder), bad_record="bad_record")
+    return bad.select("PolicyNumber", F.col("bad_record").isNotNull().alias("malformed"), F.concat_ws("; ", "problems").alias("problems"))
+
+
 # ---- profiling ---------------------------------------------------------------------
 
 @query
@@ -276,7 +296,7 @@ def category_lists(spark, folder):
 @query
 def ordinal_codes(spark, folder):
     claims = tt.contract_claims(spark, folder)
-    return claims.select("PolicyNumber", *[ordinal_code(c).alias(c) for c in ORDINAL_START])
+    return claims.select("PolicyNumber", *[ordinal_code(c).alias(c) for c in ORDINAL_CODES])
 
 
 @query
@@ -322,6 +342,17 @@ def neighbours(spark, folder):
         F.round("n.distance", 6).alias("distance"))
 
 
+@query
+def neighbour_index(spark, folder):
+    """The same lists through the projection index; on these points with recall 1."""
+    points = profile.class_subset(tt.wide_claims(spark, folder), "label", 1).select("claim_id", F.array(
+        F.col("age") / 20, F.col("o_totalprice") / 100000, F.col("c_acctbal") / 3000).alias("vec"))
+    return approximate_neighbours(points, "claim_id", "vec", 5, bucket_rows=200).select(
+        F.col("id").alias("claim_id"), F.posexplode("neighbours").alias("place", "n")).select(
+        "claim_id", (F.col("place") + 1).alias("place"), F.col("n.id").alias("neighbour_id"),
+        F.round("n.distance", 6).alias("distance"))
+
+
 @query
 def smote_rows(spark, folder):
     claims, fitted = _fitted(spark, folder)
@@ -334,9 +365,10 @@ def smote_rows(spark, folder):
 def smote_counts(spark, folder):
     claims, fitted = _fitted(spark, folder)
     train = fitted.transform(claims.filter(F.col("split") == "train"))
+    made = resample.oversampler(train, MODEL_FEATURES, "label", "claim_id")  # neighbours are searched once
     out = None
     for ratio in (0.10, 0.15, 0.20, 0.25, 0.50):
-        rows = resample.oversample(train, MODEL_FEATURES, "label", "claim_id", ratio).groupBy("label").agg(
+        rows = made.oversampled(ratio).groupBy("label").agg(
             F.lit(ratio).alias("ratio"), F.count(F.lit(1)).alias("n"), F.sum("synthetic").cast("long").alias("synthetic"))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -651,14 +683,14 @@ def weighted_benchmark(spark, folder):
     """All models with class weights instead of oversampling."""
     prepared = resample.prepare_claims(tt.contract_claims(spark, folder), ratio=None)
     return models.run_benchmark(prepared, TARGET, "PolicyNumber", weight="weight",
-                                factories=models.weighted_registry(TARGET, "weight"))
+                                factories=lambda total: models.weighted_registry(TARGET, "weight", rows=total))
 
 
 @query
 def network_candidate(spark, folder):
     """One-hidden-layer network on the shared protocol."""
     prepared = resample.prepare_claims(tt.contract_claims(spark, folder))
-    return models.run_benchmark(prepared, TARGET, "PolicyNumber", factories={
+    return models.run_benchmark(prepared, TARGET, "PolicyNumber", factories=lambda _: {
         "Network": lambda: models.network(TARGET, len(FEATURES))})
 
 
@@ -670,17 +702,11 @@ def network_search(spark, folder):
     return jobs.evaluate_winner_once(search, prepared.test, FEATURES, TARGET, "PolicyNumber")
 
 
-_BUNDLES: dict[tuple[str, str], str] = {}
-
-
 def _bundle(spark, folder):
-    """The stored bundle of a folder's claims, fitted once per application and loaded from its files."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _BUNDLES:
-        path = scratch(spark, "bundle")
-        jobs.build_bundle(tt.contract_claims(spark, folder), path)
-        _BUNDLES[key] = path
-    return jobs.load_bundle(spark, _BUNDLES[key])
+    """A bundle of the folder's claims, built, written and loaded from its files."""
+    path = scratch(spark, "bundle")
+    jobs.build_bundle(tt.contract_claims(spark, folder), path)
+    return jobs.load_bundle(spark, path)
 
 
 @query

@@ -28,9 +28,14 @@ def stream_decisions(scored: DataFrame, score: str, source_row: str, reference:
     return decided_claims(scored, score, source_row, reference, strict=False)
 
 
-def stream_probabilities(claims: DataFrame, fitted: Preprocessor, model: Transformer, keep: list[str]) -> DataFrame:
-    """Stored parameters and model on a stream of raw claims, for example followed by ``stream_decisions``."""
-    return probabilities(claims, fitted, model, keep)
+def stream_probabilities(claims: DataFrame, fitted: Preprocessor, model: Transformer, keep: list[str],
+                         on_bad: str = "null") -> DataFrame:
+    """Stored parameters and model on a stream of raw claims, for example followed by ``stream_decisions``.
+
+    By default a claim with a missing or malformed number passes without a score, so it neither
+    stops the stream nor gets lost.
+    """
+    return probabilities(claims, fitted, model, keep, on_bad)
 
 
 def write_decisions(decisions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
