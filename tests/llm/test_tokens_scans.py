@@ -184,6 +184,28 @@ def test_license_scan(spark):
         assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
 
 
+def test_no_license_rule_is_gated_out(spark):
+    texts = {}
+    for label, name, versions in licenses.NAMES:
+        first = name.replace("(?: Software)?", "").replace("(?:Lesser|Library)", "Lesser").split("|")[0].replace("[ -]", " ").replace("-?", "")
+        v = (versions or [""])[-1]
+        for phrase in ("This work is released under the {n} v{v}.", "Distributed under the terms of the {n} {v}", "available under {n}",
+                       "{n} License, version {v}", "SPDX-License-Identifier: {n}", "see the {n} licence"):
+            texts[phrase.format(n=first, v=v)] = label
+    texts |= {"Released under the GPL v2": "gpl", "Text is available under CC BY 4.0.": "cc-by", "Distributed under the terms of the MPL 2.0": "mpl"}
+    rows = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(docs_of(spark, list(texts))).collect()}
+    for k, (text, label) in enumerate(texts.items()):
+        if "{v}" not in text:
+            assert any(x == label or x.startswith(label + "-") for x in rows[k]) or label == "unlicense" and "License" not in text, (text, rows[k])
+    by_hand = ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "Neither the name of X nor the names of its contributors may be used",
+               "http://www.apache.org/licenses/LICENSE-2.0", "either version 3 of the License, or (at your option) any later version",
+               "https://creativecommons.org/licenses/by-nc-sa/4.0/", "This is free and unencumbered software released into the public domain"]
+    found = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(docs_of(spark, by_hand)).collect()}
+    assert [x in found[k] for k, x in enumerate(["mit", "bsd-3", "apache-2", "gpl-3-or-later", "cc-by-nc-sa", "unlicense"])] == [True] * 6, found
+    for _, key, body, _, _ in licenses.NOTICES:  # a rule's own text holds its keyword
+        assert re.search(key, body.replace("\\", ""), re.I), key
+
+
 def brute_secrets(text):
     found = []
     for m in re.finditer(secrets.ASSIGN.removeprefix("(?i)"), text, re.I | re.A):

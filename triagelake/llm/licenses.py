@@ -1,9 +1,10 @@
 """License detection by ordered signature rules.
 
-Rules are built from a list of licenses (id, family, name as a pattern, versions) and of
-phrasings around a name, a few hundred in all. Each carries a keyword (its license's name) and a
-priority (0 is the strongest). Only documents that speak of licenses at all are examined, and
-there only the rules whose keyword occurs. A match contained in the interval of a match of stronger
+Most rules are generated from a list of licenses (id, name as a pattern, versions) and of
+phrasings around a name, a few hundred in all; rules for license texts, notices, addresses and
+exceptions are written by hand. Each carries a keyword and a priority (0 is the strongest). Only
+documents that a rule could match at all are examined, and there only the rules whose keyword
+occurs. A match contained in the interval of a match of stronger
 priority, or of equal priority and greater length, is suppressed; equal intervals of equal
 priority keep the rule that comes first. The base phrases of the contract are counted apart and
 always keep their labels.
@@ -75,13 +76,64 @@ OTHERS = [
     ("redistribution", r"Redistribution and use in source and binary forms", 2, 0.9),
 ]
 PRIORITIES = 5
-#: A document without any of these has neither a rule's match nor a base phrase.
-GATE = r"(?i)licen[sc]e|spdx-|rights reserved|public domain|proprietary and|hereby granted|redistribution and|cc" + LETTER_GAP + r"by" + LETTER_GAP + "nc"
+# ---- fixed values: license texts, notices and exceptions, each written by hand; label, keyword, pattern, priority, score ----
+NOTICES = [
+    ("mit", "hereby granted", r"Permission is hereby granted, free of charge, to any person obtaining a copy of this software", 1, 1.0),
+    ("boost", "hereby granted", r"Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software", 1, 1.0),
+    ("isc", "with or without fee", r"Permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee", 1, 1.0),
+    ("bsd", "redistribution and use", r"Redistribution and use in source and binary forms, with or without modification, are permitted", 1, 0.9),
+    ("bsd-3", "neither the name", r"Neither the name of .{1,80}? nor the names of its contributors may be used", 1, 1.0),
+    ("bsd-4", "advertising materials", r"All advertising materials mentioning features or use of this software must display", 1, 1.0),
+    ("apache-2", "apache.org/licenses", r"https?://(?:www\.)?apache\.org/licenses/LICENSE-2\.0", 0, 1.0),
+    ("apache-2", "in compliance with the license", r"you may not use this file except in compliance with the License", 2, 0.9),
+    ("gpl", "gnu general public", r"redistribute it and/or modify it under the terms of the GNU General Public License", 1, 1.0),
+    ("lgpl", "gnu lesser general public", r"redistribute it and/or modify it under the terms of the GNU Lesser General Public License", 1, 1.0),
+    ("agpl", "gnu affero general public", r"redistribute it and/or modify it under the terms of the GNU Affero General Public License", 1, 1.0),
+    ("gpl-2-or-later", "any later version", r"either version 2 of the License, or \(at your option\) any later version", 1, 1.0),
+    ("gpl-3-or-later", "any later version", r"either version 3 of the License, or \(at your option\) any later version", 1, 1.0),
+    ("gpl", "gnu.org/licenses", r"https?://(?:www\.)?gnu\.org/licenses/gpl", 0, 1.0),
+    ("lgpl", "gnu.org/licenses", r"https?://(?:www\.)?gnu\.org/licenses/lgpl", 0, 1.0),
+    ("agpl", "gnu.org/licenses", r"https?://(?:www\.)?gnu\.org/licenses/agpl", 0, 1.0),
+    ("classpath-exception", "special exception", r"As a special exception, the copyright holders of this library give you permission to link", 1, 1.0),
+    ("gcc-exception", "runtime library exception", r"GCC Runtime Library Exception", 1, 1.0),
+    ("llvm-exception", "llvm exception", r"Apache License v2\.0 with LLVM Exceptions?", 0, 1.0),
+    ("mpl-2", "mozilla public", r"This Source Code Form is subject to the terms of the Mozilla Public License, v\. 2\.0", 1, 1.0),
+    ("mpl-2", "mozilla.org/mpl", r"https?://(?:www\.)?mozilla\.org/MPL/2\.0", 0, 1.0),
+    ("epl", "eclipse public", r"are made available under the terms of the Eclipse Public License", 1, 1.0),
+    ("cddl", "common development and distribution", r"subject to the terms of the Common Development and Distribution License", 1, 1.0),
+    ("zlib", "'as-is'", r"This software is provided 'as-is', without any express or implied warranty", 1, 0.9),
+    ("unlicense", "unencumbered software", r"This is free and unencumbered software released into the public domain", 1, 1.0),
+    ("cc0", "creativecommons.org", r"https?://creativecommons\.org/publicdomain/zero/1\.0", 0, 1.0),
+    ("cc-by-sa", "creativecommons.org", r"https?://creativecommons\.org/licenses/by-sa/[0-9.]+", 0, 1.0),
+    ("cc-by-nc-sa", "creativecommons.org", r"https?://creativecommons\.org/licenses/by-nc-sa/[0-9.]+", 0, 1.0),
+    ("cc-by-nc", "creativecommons.org", r"https?://creativecommons\.org/licenses/by-nc/[0-9.]+", 0, 1.0),
+    ("cc-by-nd", "creativecommons.org", r"https?://creativecommons\.org/licenses/by-nd/[0-9.]+", 0, 1.0),
+    ("cc-by", "creativecommons.org", r"https?://creativecommons\.org/licenses/by/[0-9.]+", 0, 1.0),
+    ("ofl", "font software is licensed", r"This Font Software is licensed under the SIL Open Font License", 1, 1.0),
+    ("artistic", "artistic license", r"may be (?:distributed|used) under the (?:terms of the )?Artistic License", 1, 0.9),
+    ("psf", "python software foundation", r"Python Software Foundation License Version 2", 1, 1.0),
+    ("openssl", "openssl project", r"This product includes software developed by the OpenSSL Project", 1, 1.0),
+    ("x11", "except as contained in this notice", r"Except as contained in this notice, the name of .{1,60}? shall not be used in advertising", 1, 1.0),
+    ("no-warranty", "without warranty of any kind", r"provided \W?as is\W?,? without warranty of any kind", 4, 0.3),
+]
 
 
 def keywords() -> dict[str, str]:
-    """Pattern of the words without which no rule of a license or phrase can match, by license or phrase."""
-    return {label: f"(?i){name}" for label, name, _ in NAMES} | {label: f"(?i){body}" for label, body, _, _ in OTHERS}
+    """Pattern of the words without which no rule of a license, phrase or notice can match, by license, phrase or keyword."""
+    own = {key: "(?i)" + key.replace(".", "[.]") for _, key, _, _, _ in NOTICES}
+    return {label: f"(?i){name}" for label, name, _ in NAMES} | {label: f"(?i){body}" for label, body, _, _ in OTHERS} | own
+
+
+def gate() -> str:
+    """Pattern without which a document has neither a rule's match nor a base phrase.
+
+    Every phrasing around a license's name needs the word license, the tag's prefix or a grant
+    in other words; phrases and notices need their keywords.
+    """
+    grants = [r"licen[sc]e", r"spdx-", r"(?:released|distributed|published|available) under"]
+    own = [key.replace(".", "[.]") for key in dict.fromkeys(key for _, key, _, _, _ in NOTICES)]
+    base = ["cc" + LETTER_GAP + "by" + LETTER_GAP + "nc"]
+    return "(?i)" + "|".join([*grants, *(body for _, body, _, _ in OTHERS), *own, *base])
 
 
 def rules() -> list[tuple[int, str, str, str, int, float]]:
@@ -99,6 +151,7 @@ def rules() -> list[tuple[int, str, str, str, int, float]]:
             elif "V" not in phrase:
                 out.append((label, label, edge(_fill(phrase, name, "")), priority, score))
     out += [(label, label, edge(body), priority, score) for label, body, priority, score in OTHERS]
+    out += [(label, key, "(?i)" + body, priority, score) for label, key, body, priority, score in NOTICES]
     return [(k, *r) for k, r in enumerate(out)]
 
 
@@ -133,7 +186,7 @@ def scan(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.struct("doc_id", F.xxhash64(text).alias("tk")).alias("id"))
     counted = rows.select("doc_id", "id", F.regexp_count("text", F.lit(LETTER_WORD)).cast("long").alias("n_words"))
-    gated = rows.where(F.rlike("text", F.lit(GATE))).select("id", "text").dropDuplicates(["id"])
+    gated = rows.where(F.rlike("text", F.lit(gate()))).select("id", "text").dropDuplicates(["id"])
     spans = F.concat(*[F.transform(places(F.col("text"), _base_pattern(p)), lambda s: F.struct(s["start"].alias("start"), F.lit(label).alias("label")))
                        for p, label in BASE.items()])
     based = gated.select("id", F.transform(spans, lambda s: F.struct(F.regexp_count(
