@@ -20,25 +20,26 @@ REPORT_GRID = [0.20, 0.25, 0.30, 0.35, 0.40, 0.50]
 DEFAULT_THRESHOLD = 0.5
 
 
-def grid_counts(scored: DataFrame, score: str, label: str, grid: list[float],
-                by: list[str] | None = None) -> DataFrame:
-    """tn, fp, fn, tp for each grid point (``grid_index`` from 0) and group.
+def slotted(scored: DataFrame, score: str, label: str, grid: list[float], by: list[str] | None = None) -> DataFrame:
+    """by, slot and y of each row, without a shuffle: the slot is the number of grid points not above the score."""
+    # A missing score is never flagged, so it belongs below the first grid point.
+    value = F.coalesce(F.nanvl(F.col(score), F.lit(-1.0)), F.lit(-1.0)).cast("double")
+    rows = scored.select(*(by or []), value.alias("v"), F.col(label).cast("long").alias("y"))
+    return Bucketizer(splits=[-math.inf, *grid, math.inf], inputCol="v", outputCol="slot").transform(rows).drop("v")
 
-    A row falls in the slot 'number of grid points not above its score'; slots are
-    counted with one map-side combined aggregation, and suffix sums over at most
-    ``len(grid) + 1`` slots give all confusion counts.
-    """
+
+def slot_counts(scored: DataFrame, score: str, label: str, grid: list[float], by: list[str] | None = None) -> DataFrame:
+    """pos and n per slot and group: at most ``len(grid) + 1`` rows a group, which add up over parts of the data."""
+    rows = slotted(scored, score, label, grid, by)
+    return rows.groupBy(*(by or []), "slot").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"))
+
+
+def counts_from_slots(slots: DataFrame, grid: list[float], by: list[str] | None = None) -> DataFrame:
+    """tn, fp, fn, tp for each grid point (``grid_index`` from 0) and group, by suffix sums over the slots."""
     by = list(by or [])
     group = by or ["__all"]
-    # A missing score is never flagged, so it belongs below the first grid point.
-    value = F.coalesce(F.nanvl(F.col(score), F.lit(-1.0)), F.lit(-1.0)).cast("double")
-    rows = scored.select(*by, value.alias("v"), F.col(label).cast("long").alias("y"))
     if not by:
-        rows = rows.withColumn("__all", F.lit(0))
-    slots = (
-        Bucketizer(splits=[-math.inf, *grid, math.inf], inputCol="v", outputCol="slot").transform(rows)
-        .groupBy(*group, "slot").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"))
-    )
+        slots = slots.withColumn("__all", F.lit(0))
     # One row per group holding at most len(grid) + 1 slots.
     packed = slots.groupBy(*group).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("slot").cast("int"), F.struct("pos", "n")))).alias("slots"))
@@ -58,17 +59,28 @@ def grid_counts(scored: DataFrame, score: str, label: str, grid: list[float],
         *by, (F.col("slot") - 1).alias("grid_index"), thresholds.alias("threshold"), "tn", "fp", "fn", "tp")
 
 
-def sweep(scored: DataFrame, score: str, label: str, grid: list[float] = SEARCH_GRID,
-          by: list[str] | None = None) -> DataFrame:
-    """Smoothed recall, precision and F1 plus accuracy at each grid point."""
+def grid_counts(scored: DataFrame, score: str, label: str, grid: list[float],
+                by: list[str] | None = None) -> DataFrame:
+    """Confusion counts for each grid point and group, from one map-side combined pass over the rows."""
+    return counts_from_slots(slot_counts(scored, score, label, grid, by), grid, by)
+
+
+def with_smoothed(counts: DataFrame) -> DataFrame:
+    """Smoothed recall, precision and F1 plus accuracy beside the counts."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    out = grid_counts(scored, score, label, grid, by).withColumns({
+    out = counts.withColumns({
         "recall": smoothed(tp, tp + fn), "precision": smoothed(tp, tp + fp),
         "accuracy": ratio(tp + tn, tp + tn + fp + fn)})
     r, p = F.col("recall"), F.col("precision")
     return out.withColumn("f1", F.lit(2.0) * p * r / (p + r + F.lit(1e-8)))
 
 
+def sweep(scored: DataFrame, score: str, label: str, grid: list[float] = SEARCH_GRID,
+          by: list[str] | None = None) -> DataFrame:
+    """Smoothed recall, precision and F1 plus accuracy at each grid point."""
+    return with_smoothed(grid_counts(scored, score, label, grid, by))
+
+
 def best_threshold(scored: DataFrame, score: str, label: str, optimize_for: str = "f1",
                    by: list[str] | None = None, grid: list[float] = SEARCH_GRID) -> DataFrame:
     """First grid point with the strictly best value; anything but ``f1`` means recall.
@@ -100,9 +112,10 @@ def evaluate_at_validation_threshold(validation: DataFrame, test: DataFrame, sco
 
 def validation_records(scored: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
     """Validation metrics of many candidates at once, each at its own best threshold."""
-    best = best_threshold(scored, score, label, "f1", by).drop("best_score")
-    counts = grid_counts(scored, score, label, SEARCH_GRID, by)
-    at_best = counts.join(best, [*by, "threshold"])
+    points = sweep(scored, score, label, SEARCH_GRID, by)
+    counts = F.struct("threshold", "tn", "fp", "fn", "tp")
+    best = points.groupBy(*by).agg(F.max_by(counts, F.struct(F.col("f1"), -F.col("grid_index"))).alias("best"))
+    at_best = best.select(*by, "best.*")
     values = ratios_from_counts()
     records = at_best.select(*by, "threshold", *[values[m].alias(m) for m in ("precision", "recall", "f1")])
     return records.join(ranking_metrics(scored, score, label, by), by).select(

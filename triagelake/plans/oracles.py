@@ -507,6 +507,12 @@ ORACLES["prediction_check"] = with_(CORE) + (
 ORACLES["streamed_decisions"] = (
     f"SELECT o_orderkey AS claim_id, round({SCORE}, 9) AS fraud_probability, {band_case(f'({SCORE})', 'risk_band')} AS risk_band FROM orders")
 
+ORACLES["policy_bands"] = with_(CORE, "v AS (SELECT claim_id, score, CASE WHEN claim_id % 7 = 0 THEN 2 ELSE 1 END AS version, score * CASE WHEN claim_id % 7 = 0 THEN 2 ELSE 1 END AS s FROM core)") + (
+    "SELECT claim_id, round(score, 9) AS score, 'standard' AS model, version, "
+    + ", ".join(f"{band_case('s', c)} AS {c}" for c in BAND_TEXTS) + " FROM v")
+ORACLES["streamed_sweep"] = ORACLES["threshold_sweep"]
+ORACLES["encoder_stage"] = ORACLES["scaled_features"]
+
 # ---- selection among candidate scores ------------------------------------------------------------------------------------
 
 _RULES = ("cand AS (" + union([

@@ -9,18 +9,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import cleaning, policy
 from ..functions.vocabulary import ORDINAL_CODES, ordinal_code
 from ..operators import (
-    encode, metrics, models, portfolio, profile, queue, resample, selection, split, thresholds)
+    encode, metrics, models, policy_table, portfolio, profile, queue, resample, selection, split, stages, thresholds)
 from ..operators.neighbour_index import approximate_neighbours
 from ..operators.neighbours import nearest_neighbours
 from ..schema import CATEGORICAL_FEATURES, FEATURES, IDENTIFIERS, TARGET
 from ..session import stage, staging_folder
 from ..sources import tables, testtables as tt
-from ..streaming import scoring
+from ..streaming import monitor, scoring
 from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -582,6 +583,41 @@ def streamed_decisions(spark, folder):
     return rounded(spark.read.parquet(out).select(F.col("source_row").alias("claim_id"), "fraud_probability", "risk_band"))
 
 
+@query
+def policy_bands(spark, folder):
+    """The decisions through a policy table with two versions; every seventh claim falls under the second."""
+    second = standard = policy_table.standard_policy(spark)
+    second = second.withColumns({"version": F.lit(2), "low": F.col("low") / 2, "high": F.col("high") / 2})
+    scores = tt.core_claims(spark, folder).select("claim_id", "score", F.lit("standard").alias("model"), F.when(
+        F.col("claim_id") % 7 == 0, 2).otherwise(1).alias("version"))
+    return rounded(policy_table.with_policy(scores, standard.unionByName(second), "score"))
+
+
+@query
+def streamed_sweep(spark, folder):
+    """Threshold counts kept by a stream in which every fifth claim arrives twice."""
+    source, out = scratch(spark, "watch-in"), scratch(spark, "watch-out")
+    claims = tt.core_claims(spark, folder).select(
+        "claim_id", "label", "score", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("claim_id") % 3600).alias("at"))
+    claims.unionByName(claims.where("claim_id % 5 = 0")).repartition(4).write.parquet(source)
+    stream = scoring.claim_stream(spark, source, claims.schema, files_per_batch=2)
+    monitor.watch_thresholds(monitor.first_reports(stream, "claim_id", "at", "2 hours"), "score", "label", out,
+                             scratch(spark, "watch-state")).awaitTermination()
+    return rounded(monitor.threshold_state(spark, out))
+
+
+@query
+def encoder_stage(spark, folder):
+    """The scaled features through a saved and loaded pipeline with the encoder as its stage."""
+    claims = split.stratified_split(tt.wide_claims(spark, folder).withColumn(
+        "claim_weekday", cleaning.repair_sentinel("claim_weekday")).select("claim_id", "label", *MODEL_FEATURES), "label", "claim_id")
+    claims = stage(claims, "split")
+    encoder = stages.ClaimEncoder(features=MODEL_FEATURES, categorical=CATEGORIES, repair=False)
+    path = scratch(spark, "encoder")
+    Pipeline(stages=[encoder]).fit(claims.filter(F.col("split") == "train")).write().save(path)
+    return rounded(PipelineModel.load(path).transform(claims).select("claim_id", "split", *MODEL_FEATURES), 6)
+
+
 # ---- selection among candidate scores -------------------------------------------------------
 
 def _candidates(spark, folder):
