@@ -16,7 +16,11 @@ Places of matches are code points.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import LETTER_GAP, LETTER_WORD, places
 
@@ -68,12 +72,13 @@ GRANTS = [
     (r"(?:licen[sc]ed|released|distributed|published|available) under (?:the )?(?:terms of )?(?:the )?N(?: Licen[sc]e)?", 3, 0.8),
     (r"N Licen[sc]e", 4, 0.6),
 ]
+# label, keyword, pattern, priority, score
 OTHERS = [
-    ("all-rights-reserved", r"All rights reserved", 4, 0.5),
-    ("public-domain", r"(?:released|dedicated|placed) (?:in|to|into) the public domain", 3, 0.8),
-    ("proprietary", r"proprietary and confidential", 4, 0.5),
-    ("permissive", r"Permission is hereby granted, free of charge", 2, 0.9),
-    ("redistribution", r"Redistribution and use in source and binary forms", 2, 0.9),
+    ("all-rights-reserved", "all rights reserved", r"All rights reserved", 4, 0.5),
+    ("public-domain", "public domain", r"(?:released|dedicated|placed) (?:in|to|into) the public domain", 3, 0.8),
+    ("proprietary", "proprietary and confidential", r"proprietary and confidential", 4, 0.5),
+    ("permissive", "permission is hereby granted", r"Permission is hereby granted, free of charge", 2, 0.9),
+    ("redistribution", "redistribution and use", r"Redistribution and use in source and binary forms", 2, 0.9),
 ]
 PRIORITIES = 5
 # ---- fixed values: license texts, notices and exceptions, each written by hand; label, keyword, pattern, priority, score ----
@@ -118,22 +123,30 @@ NOTICES = [
 ]
 
 
-def keywords() -> dict[str, str]:
-    """Pattern of the words without which no rule of a license, phrase or notice can match, by license, phrase or keyword."""
-    own = {key: "(?i)" + key.replace(".", "[.]") for _, key, _, _, _ in NOTICES}
-    return {label: f"(?i){name}" for label, name, _ in NAMES} | {label: f"(?i){body}" for label, body, _, _ in OTHERS} | own
+# ---- fixed values: words without which no phrasing around a license's name matches ----
+GRANT_WORDS = ["license", "licence", "spdx-", "released under", "distributed under", "published under", "available under"]
+_CC_BY_NC = "(?i)cc" + LETTER_GAP + "by" + LETTER_GAP + "nc"
+
+
+def _says(lower: Column, words: Iterable[str]) -> Column:
+    """Whether a lower-cased text holds one of the words."""
+    return reduce(or_, [F.contains(lower, F.lit(w)) for w in dict.fromkeys(words)])
+
 
+def gate(text: Column) -> Column:
+    """False only where neither a rule nor a base phrase can match: each needs one of these words."""
+    words = [*GRANT_WORDS, *(key for _, key, _, _, _ in OTHERS), *(key for _, key, _, _, _ in NOTICES)]
+    # The text is lower-cased once: it is the only element of the array.
+    return F.exists(F.array(F.lower(text)), lambda lower: _says(lower, words)) | F.rlike(text, F.lit(_CC_BY_NC))
 
-def gate() -> str:
-    """Pattern without which a document has neither a rule's match nor a base phrase.
 
-    Every phrasing around a license's name needs the word license, the tag's prefix or a grant
-    in other words; phrases and notices need their keywords.
-    """
-    grants = [r"licen[sc]e", r"spdx-", r"(?:released|distributed|published|available) under"]
-    own = [key.replace(".", "[.]") for key in dict.fromkeys(key for _, key, _, _, _ in NOTICES)]
-    base = ["cc" + LETTER_GAP + "by" + LETTER_GAP + "nc"]
-    return "(?i)" + "|".join([*grants, *(body for _, body, _, _ in OTHERS), *own, *base])
+def keywords(text: Column) -> Column:
+    """Array of the keywords in a text without which no rule of a license, phrase or notice can match."""
+    names = [F.when(F.rlike(text, F.lit(f"(?i){name}")), F.lit(label)) for label, name, _ in NAMES]
+    own = dict.fromkeys([key for _, key, _, _, _ in OTHERS] + [key for _, key, _, _, _ in NOTICES])
+    held = F.flatten(F.transform(F.array(F.lower(text)), lambda lower: F.array(
+        *[F.when(F.contains(lower, F.lit(key)), F.lit(key)) for key in own])))
+    return F.array_compact(F.concat(F.array(*names), held))
 
 
 def rules() -> list[tuple[int, str, str, str, int, float]]:
@@ -150,7 +163,7 @@ def rules() -> list[tuple[int, str, str, str, int, float]]:
                 out.append((label, label, edge(_fill(phrase, name, r"[0-9.]+(?:-only|-or-later)?")), priority, score))
             elif "V" not in phrase:
                 out.append((label, label, edge(_fill(phrase, name, "")), priority, score))
-    out += [(label, label, edge(body), priority, score) for label, body, priority, score in OTHERS]
+    out += [(label, key, edge(body), priority, score) for label, key, body, priority, score in OTHERS]
     out += [(label, key, "(?i)" + body, priority, score) for label, key, body, priority, score in NOTICES]
     return [(k, *r) for k, r in enumerate(out)]
 
@@ -167,7 +180,7 @@ def _base_pattern(phrase: str) -> str:
 def detections(gated: DataFrame, spark: SparkSession) -> DataFrame:
     """id, label, priority, score, start, end of the matches of all rules in (id, text), suppressed ones left out."""
     table = spark.createDataFrame(rules(), "rule int, label string, keyword string, pattern string, priority int, score double")
-    words = F.explode(F.array_compact(F.array(*[F.when(F.rlike("text", F.lit(p)), F.lit(k)) for k, p in keywords().items()])))
+    words = F.explode(keywords(F.col("text")))
     found = (gated.select("id", "text", words.alias("keyword")).join(F.broadcast(table), "keyword")  # a few hundred rows, fixed
              .where(F.rlike("text", F.col("pattern"))).select("id", "rule", "label", "priority", "score", F.explode(places(F.col("text"), F.col("pattern"))).alias("span"))
              .select("id", "rule", "label", "priority", "score", "span.start", "span.end"))
@@ -186,7 +199,7 @@ def scan(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.struct("doc_id", F.xxhash64(text).alias("tk")).alias("id"))
     counted = rows.select("doc_id", "id", F.regexp_count("text", F.lit(LETTER_WORD)).cast("long").alias("n_words"))
-    gated = rows.where(F.rlike("text", F.lit(gate()))).select("id", "text").dropDuplicates(["id"])
+    gated = rows.where(gate(F.col("text"))).select("id", "text").dropDuplicates(["id"])
     spans = F.concat(*[F.transform(places(F.col("text"), _base_pattern(p)), lambda s: F.struct(s["start"].alias("start"), F.lit(label).alias("label")))
                        for p, label in BASE.items()])
     based = gated.select("id", F.transform(spans, lambda s: F.struct(F.regexp_count(
