@@ -161,3 +161,21 @@ def test_quality_counts_and_certified_cutoffs(spark):
     assert none == 800
     assert quality.keep_good(rows, labels, risk=0.04).count() == 700 and quality.keep_good(rows, labels).columns == rows.columns
     assert quality.assess(rows.limit(0), labels).count() == 0
+
+
+def test_rules_spend_the_risk_together(spark):
+    good, marked, shouted = " ".join(words(30, 9)), " ".join(w + "###" for w in words(30, 10)), " ".join(words(30, 11)).upper().replace("W", "LOUD")
+    texts = [good] * 250 + [marked] * 20 + [shouted] * 15 + [good] * 40
+    labels = spark.createDataFrame([(i, 1 if i < 250 else 0) for i in range(285)], "doc_id long, quality int")
+    rows = docs_of(spark, texts)
+    stats = quality.statistics(rows)
+    assert [tuple(r)[0] for r in quality.cutoffs(stats, labels).select("n_rejected").collect()] == [0]
+    kept = {r["key"]["doc_id"] for r in quality.assess(rows, labels).where("kept").collect()}
+    assert kept == set(range(250)) | set(range(285, 325))
+    # 216 good documents and four strata are one too few: (1 - 0.02) ** 216 > 0.05 / 4.
+    few = labels.where("doc_id >= 54")
+    assert quality.cutoffs(stats, few, delta=0.05 / 4).count() == 0
+    assert quality.cutoffs(stats, labels.where("doc_id >= 33"), delta=0.05 / 4).count() == 1
+    # Good documents that a loose step rejects end the sequence, whatever tighter steps would gain.
+    wrong = labels.select("doc_id", F.when(F.col("doc_id").between(250, 269), 1).otherwise(F.col("quality")).alias("quality"))
+    assert quality.cutoffs(stats, wrong).where("n_rejected > 0").count() == 0

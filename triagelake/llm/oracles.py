@@ -60,29 +60,33 @@ WITH d AS (
 ), base AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
 ), v AS (
-  SELECT doc_id, lang, base_failed, unnest([
-    {'rule': 'symbols', 'x': CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END},
-    {'rule': 'capitals', 'x': CASE WHEN word_chars > 0 THEN n_capitals / word_chars ELSE 0 END},
-    {'rule': 'dup_lines', 'x': CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END},
-    {'rule': 'repeats', 'x': CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END}], recursive := true)
+  SELECT doc_id, lang, base_failed,
+    CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS symbols,
+    CASE WHEN word_chars > 0 THEN n_capitals / word_chars ELSE 0 END AS capitals,
+    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_lines,
+    CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeats
   FROM base
 ), q AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
-), held AS (SELECT lang, rule, x, quality > 0 AS good FROM v JOIN q USING (doc_id) WHERE NOT base_failed
-), cuts AS (
-  SELECT unnest([0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.075, 0.05, 0.03, 0.02])::DOUBLE AS cut
+), cuts(t, c1, c2, c3, c4) AS (VALUES
+  (0, 0.9::DOUBLE, 0.95::DOUBLE, 0.95::DOUBLE, 0.2::DOUBLE), (1, 0.7, 0.9, 0.9, 0.195), (2, 0.5, 0.85, 0.85, 0.19),
+  (3, 0.4, 0.8, 0.8, 0.185), (4, 0.3, 0.75, 0.75, 0.18), (5, 0.25, 0.7, 0.7, 0.175), (6, 0.2, 0.65, 0.65, 0.17),
+  (7, 0.15, 0.6, 0.6, 0.165), (8, 0.1, 0.55, 0.55, 0.16), (9, 0.075, 0.5, 0.5, 0.155), (10, 0.05, 0.45, 0.45, 0.15),
+  (11, 0.03, 0.4, 0.4, 0.145), (12, 0.02, 0.35, 0.35, 0.14)
+), hit AS (
+  SELECT v.*, t, symbols >= c1 OR capitals >= c2 OR dup_lines >= c3 OR repeats >= c4 AS x FROM v, cuts
 ), steps AS (
-  SELECT lang, rule, cut, count(*) FILTER (good) AS n, count(*) FILTER (good AND x >= cut) AS k,
-    count(*) FILTER (NOT good AND x >= cut) AS bad FROM held, cuts GROUP BY lang, rule, cut
+  SELECT lang, t, count(*) FILTER (quality > 0) AS n, count(*) FILTER (quality > 0 AND x) AS k,
+    count(*) FILTER (quality <= 0 AND x) AS bad
+  FROM hit JOIN q USING (doc_id) WHERE NOT base_failed GROUP BY lang, t
 ), tests AS (
-  SELECT *, CASE WHEN k >= n * 0.005 THEN false ELSE list_sum(list_transform(range(0, k + 1), lambda j:
-      exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.005) + (n - j) * ln(0.995))))
-    <= 0.05 / (4 * (SELECT count(DISTINCT coalesce(lang, '')) FROM held)) END AS ok FROM steps
-), chain AS (SELECT *, bool_and(ok) OVER (PARTITION BY lang, rule ORDER BY cut DESC) AS passes FROM tests
+  SELECT *, CASE WHEN k >= n * 0.02 THEN false ELSE list_sum(list_transform(range(0, k + 1), lambda j:
+      exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.02) + (n - j) * ln(0.98))))
+    <= 0.05 / (SELECT count(DISTINCT coalesce(lang, '')) FROM steps) END AS ok FROM steps
+), chain AS (SELECT *, bool_and(ok) OVER (PARTITION BY lang ORDER BY t) AS passes FROM tests
 ), best AS (
-  SELECT lang, rule, cut FROM chain WHERE passes AND bad > k
-  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY bad - k DESC, cut DESC) = 1
+  SELECT lang, t FROM chain WHERE passes AND bad > k QUALIFY row_number() OVER (PARTITION BY lang ORDER BY bad - k DESC, t) = 1
 ), rejects AS (
-  SELECT DISTINCT v.doc_id FROM v JOIN best b ON v.lang IS NOT DISTINCT FROM b.lang AND v.rule = b.rule AND v.x >= b.cut
+  SELECT DISTINCT hit.doc_id FROM hit JOIN best b ON hit.lang IS NOT DISTINCT FROM b.lang AND hit.t = b.t AND x
 )
 SELECT {columns} FROM base LEFT JOIN rejects r ON base.doc_id = r.doc_id
 """
