@@ -52,6 +52,46 @@ def test_line_dedup_of_repeated_rows_and_empty_table(spark):
     assert linededup.dedup_lines(rows.limit(0)).count() == 0
 
 
+def runs_that_came_before(texts, least):
+    """Brute force: line numbers that lie in a run of ``least`` or more words found earlier, per text."""
+    seen, gone = set(), []
+    for text in texts:
+        lines = [(k, x) for k, x in enumerate(text.split("\n")) if x.split()]
+        out = set()
+        for i in range(len(lines)):
+            for e in range(i, len(lines)):
+                run = tuple(x for _, x in lines[i:e + 1])
+                if sum(len(x.split()) for x in run) >= least:
+                    if run in seen:
+                        out |= set(range(lines[i][0], lines[e][0] + 1))
+                    seen.add(run)
+        gone.append(out)
+    return gone
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    # Few different lines: fingerprints are frequent, surroundings differ, runs overlap and repeat inside a text.
+    pool = ["a", "b c", "d e f", "g", "", "h i"] if seed else ["a", "a", "b", ""]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(0, 25))) for _ in range(40)]
+    texts += [texts[k] for k in (1, 2, 3)] + [texts[4] + "\nz\n" + texts[5]] * 3
+    out = {r["row"]["doc_id"]: r for r in linededup.dedup_lines(docs_of(spark, texts), min_words=7).collect()}
+    for i, (text, gone) in enumerate(zip(texts, runs_that_came_before(texts, 7))):
+        assert out[i]["text"] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone), (i, gone)
+        assert out[i]["n_removed"] == len(gone)
+
+
+def test_fingerprints_are_few_and_cover_every_window(spark):
+    texts = ["\n".join(" ".join(words(8, 1000 * d + k)) for k in range(200)) for d in range(5)]
+    rows = linededup.packed(docs_of(spark, texts))
+    found = linededup.fingerprints(rows).select("key.doc_id", "line").collect()
+    assert len(found) < 0.35 * 1000
+    for d in range(5):  # seven lines hold 56 words: each window has a selected line
+        at = sorted(r["line"] for r in found if r["doc_id"] == d)
+        assert at[0] < 7 and at[-1] >= 193 and all(y - x <= 7 for x, y in zip(at, at[1:]))
+
+
 def jaccard_groups(texts):
     sets = []
     for t in texts:

@@ -2,14 +2,21 @@
 
 Every line with a word is hashed. A window is a shortest run of such lines that holds
 ``min_words`` words, taken forward from each line and backward from each line; it has at most
-``min_words`` lines. The smallest line hash of each window is selected as its fingerprint
-(rightmost of equals). Any run of ``min_words`` or more words that occurs twice contains the
-same windows in both places and so selects the same fingerprints: none can be missed, whatever
-surrounds the run. Fingerprint positions are joined on their hash, and the match is extended
-both ways to the borders of the window by comparing the hashes of the lines left and right of
-it, as part of the join key. So a hot fingerprint never meets all its copies: each place is
-compared with the first one that agrees on both sides. Since forward and backward windows
-together cover every line of a run, their union is the maximal repeated run.
+``min_words`` lines. The smallest line hash of each window (rightmost of equals) selects that
+line as a fingerprint; neighbouring windows mostly select the same line, so far fewer positions
+are kept than lines. Any run of ``min_words`` or more words that occurs twice contains the same
+windows in both places and so selects the same fingerprints: none can be missed, whatever
+surrounds the run.
+
+Fingerprint positions are joined on their hash; a line that is a fingerprint in one place only
+is finished there. The others are extended both ways by comparing the hashes of the lines
+beside them, first out to the borders of all windows that selected the position (its
+surroundings): a place with the surroundings of an earlier one is repeated whole. So a thousand
+copies fold into one before anything else is compared. The first places of different
+surroundings are then extended as far as one of their windows agrees with an earlier place.
+Each place is thus compared with the first one that agrees on both sides, never with all.
+Since forward and backward windows together cover every line of a run, the union of what
+agrees is the maximal repeated run.
 
 Result: a line is deleted exactly if it lies in a run of lines with ``min_words`` or more words
 that occurred before, earlier in the same document or in a document before it; documents are
@@ -38,25 +45,37 @@ def _lines(rows: DataFrame) -> DataFrame:
     return lines.select("key", "line", F.xxhash64("content").alias("hash"), words.cast("long").alias("words")).where("words > 0")
 
 
-def windows(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """key, first and last line of each window, its fingerprint line and hash and the hashes to both sides."""
+def fingerprints(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per selected line: key, line, hash, its surroundings and the windows that selected it.
+
+    ``left`` holds the lines before it, nearest first, ``right`` those after it; a window is the
+    number of lines that it takes from each.
+    """
     in_order = Window.partitionBy("key").orderBy("line")
     ahead = F.collect_list(F.struct("line", "hash", "words")).over(in_order.rowsBetween(0, min_words - 1))
     behind = F.collect_list(F.struct("line", "hash", "words")).over(in_order.rowsBetween(1 - min_words, 0))
     lines = _lines(rows).dropDuplicates(["key", "line"]).select("key", "line", ahead.alias("ahead"), F.reverse(behind).alias("behind"))
     both = lines.select("key", F.explode(F.array(
         F.struct(_shortest("ahead", min_words).alias("run")), F.struct(F.reverse(_shortest("behind", min_words)).alias("run")))).alias("w"))
-    run = F.col("w.run")
-    hashes = F.transform(run, lambda x: x["hash"])
-    both = both.where(F.size(run) > 0).select("key", run.alias("run"), hashes.alias("hashes")).dropDuplicates(["key", "run"])
-    n = F.size("hashes")
+    run = F.transform("w.run", lambda x: F.struct(x["line"], x["hash"]))
+    both = both.where(F.size("w.run") > 0).select("key", run.alias("run"), F.col("w.run.hash").alias("hashes"))
+    n = F.size("run")
     at = n - F.array_position(F.reverse("hashes"), F.array_min("hashes")).cast("int")  # from 0, rightmost minimum
-    both = both.withColumn("at", at)
-    return both.select(
-        "key", F.get("run", F.lit(0))["line"].alias("first"), F.get("run", n - 1)["line"].alias("last"),
-        F.get("run", F.col("at"))["line"].alias("fingerprint_line"), F.get("hashes", F.col("at")).alias("fingerprint"),
-        F.xxhash64(F.slice("hashes", 1, F.col("at"))).alias("left"),
-        F.xxhash64(F.slice("hashes", F.col("at") + 2, F.greatest(n - F.col("at") - 1, F.lit(0)))).alias("right"))
+    both = both.withColumn("at", at).select(
+        "key", F.get("run", F.col("at")).alias("print"), F.reverse(F.slice("run", 1, F.col("at"))).alias("left"),
+        F.slice("run", F.col("at") + 2, F.greatest(n - F.col("at") - 1, F.lit(0))).alias("right"))
+    return both.groupBy("key", F.col("print.line").alias("line"), F.col("print.hash").alias("fingerprint")).agg(
+        F.max_by("left", F.size("left")).alias("left"), F.max_by("right", F.size("right")).alias("right"),
+        F.collect_set(F.struct(F.size("left").alias("left"), F.size("right").alias("right"))).alias("windows"))
+
+
+def _hash(lines: Column) -> Column:
+    return F.xxhash64(F.transform(lines, lambda x: x["hash"]))
+
+
+def _reach(lines: str, n: Column) -> Column:
+    """Number of the line ``n`` places away from the fingerprint, on one side."""
+    return F.when(n > 0, F.get(F.col(lines), n - 1)["line"]).otherwise(F.col("line"))
 
 
 def _shortest(lines: str, min_words: int) -> Column:
@@ -68,17 +87,32 @@ def _shortest(lines: str, min_words: int) -> Column:
 
 
 def repeated_runs(found: DataFrame) -> DataFrame:
-    """The windows whose lines occurred before, from the result of ``windows``."""
-    match = ["fingerprint", "left", "right"]
-    firsts = found.groupBy(*match).agg(F.count("*").alias("n"), F.min(F.struct("key", "first")).alias("origin")).where("n > 1")
-    firsts = stage(firsts.select(*match, "origin"), "line-firsts")
-    return found.join(firsts, match).where(F.struct("key", "first") != F.col("origin")).select("key", "first", "last")
+    """key, first and last line of what occurred before, from the written result of ``fingerprints``."""
+    around = ["fingerprint", "before", "after"]
+    found = found.withColumns({"before": _hash(F.col("left")), "after": _hash(F.col("right"))})
+    firsts = stage(found.groupBy(*around).agg(F.count("*").alias("n"), F.min(F.struct("key", "line")).alias("origin")), "line-firsts")
+    # Fingerprints found in more than one place, and in how many different surroundings.
+    shared = firsts.groupBy("fingerprint").agg(F.sum("n").alias("places"), F.count("*").alias("kinds")).where("places > 1")
+    joined = found.join(firsts.join(shared, "fingerprint").select(*around, "origin", "kinds"), around)
+    repeated = F.struct("key", "line") != F.col("origin")
+    joined = stage(joined.where(repeated | (F.col("kinds") > 1)).select(
+        "key", "line", "fingerprint", repeated.alias("repeated"), "left", "right", "windows"), "line-places")
+    whole = joined.where("repeated").select(
+        "key", _reach("left", F.size("left")).alias("first"), _reach("right", F.size("right")).alias("last"))
+    # First places of their surroundings: which of their windows an earlier one of these agrees with.
+    windows = joined.where("NOT repeated").select("key", "line", "fingerprint", "left", "right", F.explode("windows").alias("w"))
+    windows = stage(windows.select(
+        "key", "line", "fingerprint", _reach("left", F.col("w.left")).alias("first"), _reach("right", F.col("w.right")).alias("last"),
+        _hash(F.slice("left", 1, F.col("w.left"))).alias("before"), _hash(F.slice("right", 1, F.col("w.right"))).alias("after")), "line-windows")
+    origins = windows.groupBy(*around).agg(F.count("*").alias("n"), F.min(F.struct("key", "line")).alias("origin")).where("n > 1")
+    later = windows.join(origins.select(*around, "origin"), around).where(F.struct("key", "line") != F.col("origin"))
+    return whole.unionByName(later.select("key", "first", "last"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``row`` (as it came), ``text`` after deletion, n_lines and n_removed of each row of ``docs``."""
     rows = packed(docs)
-    found = stage(windows(rows, min_words), "line-windows")
+    found = stage(fingerprints(rows, min_words), "line-fingerprints")
     gone = (repeated_runs(found).select("key", F.explode(F.sequence("first", "last")).alias("line")).distinct()
             .groupBy("key").agg(F.collect_list("line").alias("gone")))
     joined = rows.join(gone.hint("shuffle_hash"), "key", "left").select(
