@@ -237,7 +237,7 @@ def test_secret_scan(spark):
         assert got[doc_id]["base"] == base and [got[doc_id][f"n_{k}"] for k in ("assign", "access", "hex")] == [base.count(k + ":") for k in ("assign", "access", "hex")]
 
 
-def test_language_on_held_out_documents(spark):
+def test_language_on_held_out_documents(spark, monkeypatch):
     docs = table(spark, FOLDER, "documents").unionByName(spark.createDataFrame(
         [(9000, None, None, "s", 0), (9001, "123 !!", "en", "s", 6), (9002, "", "de", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long"))
     model = language.train(docs)
@@ -248,6 +248,22 @@ def test_language_on_held_out_documents(spark):
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) >= 0.95 * len(held)
     assert {r["lang_pred"] for r in rows if r["doc_id"] >= 9000} == {"und"} and all(0 <= r["score"] <= 1 for r in rows)
     assert language.train(docs.where("lang IS NULL")) is None
+    # Long texts: all held-out documents of a language after one another, several million characters.
+    for lang in sorted(set(truth.values()) - {None}):
+        parts = [r["text"] for r in docs.where(F.col("lang") == lang).collect() if r["text"] and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+        long = (" ".join(parts) + " ") * (1 + 2_000_000 // sum(map(len, parts)))
+        assert model.predict([long, " ".join(parts)])[0] == [lang, lang]
+    # The kernel is that of the definition.
+    some = ["abcab", "ab", "Ünder the bridge", ""]
+    grams = lambda t, n: {t.lower()[i:i + n] for i in range(len(t) - n + 1)}
+    share = lambda x, y, n: len(grams(x, n) & grams(y, n)) / max(1, len(grams(x, n)) * len(grams(y, n))) ** 0.5
+    direct = [[sum(share(x, y, n) for n in (1, 2, 3, 4)) / 4 for y in some[:3]] for x in some]
+    assert language.Landmarks(some[:3]).kernel(some) == pytest.approx(np.array(direct), abs=1e-6)
+    # Of too many languages those with most documents are learnt.
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    learnable = docs.where(~language.held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    uneven = learnable.where("lang IN ('en', 'de')").unionByName(learnable.where("lang = 'fr'").limit(3))
+    assert language.train(uneven).names == ["de", "en"]
     big = 9007199254740993  # no float holds it
     assert {r["doc_id"] for r in language.identify(docs_of(spark, ["a", "b"], [None, big]), model).collect()} == {None, big}
     assert {r["lang_pred"] for r in language.identify(docs, None).collect()} == {"und"}
