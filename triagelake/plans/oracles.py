@@ -297,6 +297,13 @@ ORACLES["numeric_describe"] = with_(WIDE) + union(
     f"round(min({c})::DOUBLE, 2) AS min, round(quantile_cont({c}::DOUBLE, 0.25), 2) AS q25, "
     f"round(quantile_cont({c}::DOUBLE, 0.5), 2) AS q50, round(quantile_cont({c}::DOUBLE, 0.75), 2) AS q75, "
     f"round(max({c})::DOUBLE, 2) AS max FROM wide" for c in NUMERIC)
+ORACLES["merged_profile"] = with_(WIDE) + union([
+    f"SELECT '{c}' AS feature, count(*) AS rows, count(*) - count({c}) AS missing, round(min({c})::DOUBLE, 2) AS low, "
+    f"round(max({c})::DOUBLE, 2) AS high, count(DISTINCT {c}) AS distinct_exact, true AS distinct_close, true AS quartiles_close, "
+    f"NULL::VARCHAR AS frequent FROM wide" for c in NUMERIC] + [
+    f"SELECT '{c}', count(*), count(*) - count({c}), NULL, NULL, count(DISTINCT {c}), true, NULL, (SELECT string_agg(v || ':' || n, '|' "
+    f"ORDER BY n DESC, v) FROM (SELECT {c}::VARCHAR AS v, count(*) AS n FROM wide WHERE {c} IS NOT NULL GROUP BY 1 "
+    f"ORDER BY n DESC, v LIMIT 8)) FROM wide" for c in CATEGORIES])
 _CORR = [*NUMERIC, "label"]
 ORACLES["correlation_matrix"] = with_(WIDE) + union(
     f"SELECT '{_CORR[j]}' AS feature_a, '{_CORR[i]}' AS feature_b, round(corr({_CORR[j]}, {_CORR[i]}), 9) AS correlation FROM wide"

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import cleaning, policy
 from ..functions.vocabulary import ORDINAL_CODES, ordinal_code
 from ..operators import (
-    encode, metrics, models, policy_table, portfolio, profile, queue, resample, selection, split, stages, thresholds)
+    encode, metrics, models, policy_table, portfolio, profile, profile_sketches, queue, resample, selection, split, stages, thresholds)
 from ..operators.neighbour_index import approximate_neighbours
 from ..operators.neighbours import nearest_neighbours
 from ..schema import CATEGORICAL_FEATURES, FEATURES, IDENTIFIERS, TARGET
@@ -232,6 +232,29 @@ def numeric_describe(spark, folder):
     return profile.describe_numeric(tt.wide_claims(spark, folder), NUMERIC)
 
 
+@query
+def merged_profile(spark, folder):
+    """Sketches per claim weekday, written, merged and held against exact counts; shares within two percent are close."""
+    claims = tt.wide_claims(spark, folder)
+    parts = stage(profile_sketches.sketch_parts(claims, F.col("claim_weekday"), NUMERIC, CATEGORIES), "profile-parts")
+    merged = stage(profile_sketches.read_sketches(profile_sketches.merge_sketches(parts), [0.25, 0.5, 0.75]), "profile-merged")
+    values = profile.long_values(claims, NUMERIC, [], "double").where("value IS NOT NULL").groupBy("feature", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    # One row per feature: each quartile's share of values below it and up to it.
+    q = F.broadcast(merged.select("feature", "quantiles"))
+    shares = values.join(q, "feature").select("feature", "value", "n", F.posexplode("quantiles").alias("i", "quartile")).groupBy("feature", "i").agg(
+        (F.sum(F.when(F.col("value") < F.col("quartile"), F.col("n")).otherwise(0)) / F.sum("n")).alias("below"),
+        (F.sum(F.when(F.col("value") <= F.col("quartile"), F.col("n")).otherwise(0)) / F.sum("n")).alias("upto"))
+    wanted = (F.col("i") + 1) / 4
+    close = shares.groupBy("feature").agg(F.every((F.col("below") <= wanted + 0.02) & (F.col("upto") >= wanted - 0.02)).alias("quartiles_close"))
+    exact = profile.long_values(claims, NUMERIC + CATEGORIES, [], "string").groupBy("feature").agg(
+        F.count_distinct("value").alias("distinct_exact"))
+    return merged.join(exact, "feature").join(close, "feature", "left").select(
+        "feature", "rows", "missing", F.round("low", 2).alias("low"), F.round("high", 2).alias("high"), "distinct_exact",
+        (F.abs(F.col("distinct_values") / F.col("distinct_exact") - 1) <= 0.05).alias("distinct_close"), "quartiles_close",
+        F.array_join(F.transform("frequent", lambda x: F.concat_ws(":", x["value"], x["n"].cast("string"))), "|").alias("frequent"))
+
+
 @query
 def correlation_matrix(spark, folder):
     return rounded(profile.correlation_matrix(tt.wide_claims(spark, folder), [*NUMERIC, "label"]))
