@@ -308,6 +308,11 @@ _CORR = [*NUMERIC, "label"]
 ORACLES["correlation_matrix"] = with_(WIDE) + union(
     f"SELECT '{_CORR[j]}' AS feature_a, '{_CORR[i]}' AS feature_b, round(corr({_CORR[j]}, {_CORR[i]}), 9) AS correlation FROM wide"
     for i in range(len(_CORR)) for j in range(i + 1, len(_CORR)))
+ORACLES["vector_correlations"] = (
+    "SELECT 'place_' || (j - 1) AS feature_a, 'place_' || (i - 1) AS feature_b, count(*) FILTER (embedding[i] IS NOT NULL AND "
+    "embedding[j] IS NOT NULL) AS n, round(corr(embedding[i]::DOUBLE, embedding[j]::DOUBLE), 7) AS correlation FROM embeddings, "
+    "(SELECT unnest(range(1, (SELECT max(len(embedding)) FROM embeddings) + 1)) AS i) a, "
+    "(SELECT unnest(range(1, (SELECT max(len(embedding)) FROM embeddings) + 1)) AS j) b WHERE i < j GROUP BY i, j")
 ORACLES["histogram_by_class"] = with_(
     WIDE,
     "long AS (" + union(f"SELECT '{c}' AS feature, label, {c}::DOUBLE AS v FROM wide" for c in NUMERIC) + ")",

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import cleaning, policy
 from ..functions.vocabulary import ORDINAL_CODES, ordinal_code
 from ..operators import (
-    encode, metrics, models, policy_table, portfolio, profile, profile_sketches, queue, resample, selection, split, stages, thresholds)
+    comoments, encode, metrics, models, policy_table, portfolio, profile, profile_sketches, queue, resample, selection, split, stages, thresholds)
 from ..operators.neighbour_index import approximate_neighbours
 from ..operators.neighbours import nearest_neighbours
 from ..schema import CATEGORICAL_FEATURES, FEATURES, IDENTIFIERS, TARGET
@@ -260,6 +260,16 @@ def correlation_matrix(spark, folder):
     return rounded(profile.correlation_matrix(tt.wide_claims(spark, folder), [*NUMERIC, "label"]))
 
 
+@query
+def vector_correlations(spark, folder):
+    """Every pair of places of the vectors as two columns of a wide table."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("embedding")
+    places = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"place_{i}" for i in range(places)]
+    wide = vectors.select(*[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate(names)])
+    return rounded(comoments.correlations(comoments.comoments(wide, names, comoments.shifts(wide, names)), names), 7)
+
+
 @query
 def histogram_by_class(spark, folder):
     return rounded(profile.histogram_by_class(tt.wide_claims(spark, folder), NUMERIC, "label"), 4)
