@@ -450,6 +450,7 @@ ORACLES["top_k_rows"] = with_(
     "SELECT rank, claim_id, round(score, 9) AS score FROM ranked WHERE rank <= ceil(n * 10 / 100.0::DOUBLE)")
 ORACLES["row_position"] = with_(CORE) + "SELECT claim_id, row_number() OVER (ORDER BY o_totalprice, claim_id) AS position FROM core"
 ORACLES["scored_label_join"] = with_(CORE) + "SELECT claim_id, label, round(score, 9) AS score FROM core"
+ORACLES["colocated_label_join"] = ORACLES["scored_label_join"]
 
 # ---- policy and queue ---------------------------------------------------------------------------------------------
 

@@ -20,7 +20,7 @@ from ..operators.neighbour_index import approximate_neighbours
 from ..operators.neighbours import nearest_neighbours
 from ..schema import CATEGORICAL_FEATURES, FEATURES, IDENTIFIERS, TARGET
 from ..session import stage, staging_folder
-from ..sources import tables, testtables as tt
+from ..sources import colocated, tables, testtables as tt
 from ..streaming import monitor, scoring
 from . import jobs
 
@@ -539,6 +539,16 @@ def scored_label_join(spark, folder):
     return rounded(portfolio.paired_scores(claims.select("claim_id", "label"), claims.select("claim_id", "score"), "claim_id"))
 
 
+@query
+def colocated_label_join(spark, folder):
+    """Labels and scores paired from tables bucketed alike."""
+    claims = tt.core_claims(spark, folder)
+    buckets = colocated.bucket_count(claims.count(), spark.sparkContext.defaultParallelism)
+    kept = colocated.write_colocated(
+        {"labels": claims.select("claim_id", "label"), "scores": claims.select("claim_id", "score")}, "claim_id", buckets)
+    return rounded(portfolio.paired_scores(kept["labels"], kept["scores"], "claim_id"))
+
+
 # ---- policy and queue --------------------------------------------------------------------
 
 @query
