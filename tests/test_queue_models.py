@@ -182,3 +182,23 @@ def test_cross_fitted_curve_is_no_worse_on_new_rows(spark):
         p = F.col("score")
         loss[folds] = models.scored(model, fresh, ["y"]).agg(F.avg((p - F.col("y")) ** 2)).first()[0]
     assert loss[3] <= loss[0] + 1e-3, loss
+
+
+def test_raised_rows_are_not_kept(spark, monkeypatch):
+    """Beside the copy that a machine keeps of its rows, raised rows are neither cached nor written."""
+    staged, write = [], models.stage
+    monkeypatch.setattr(models, "stage", lambda df, name: staged.append(df.columns) or write(df, name))
+    df = spark.createDataFrame([(float(i % 5), float(i % 7), int(i % 5 > 2)) for i in range(100)], "a double, b double, y int")
+    machine, kept = models.CalibratedSVC("y", count=8, folds=2), []
+
+    class Watched:
+        def fit(self, rows):
+            kept.append(rows.storageLevel.useMemory or rows.storageLevel.useDisk)
+            assert len(rows.select("features").first()[0]) == 8
+            return inner.fit(rows)
+
+    inner, machine.machine = machine.machine.setMaxIter(3), Watched()
+    model = machine.fit(models.assembled(df, ["a", "b"]))
+    assert kept == [False] * 3
+    assert [sorted(c) for c in staged] == [["features", "fold", "y"], ["fold", "margin", "y"]]
+    assert models.scored(model, models.assembled(df, ["a", "b"]), ["y"]).count() == 100
