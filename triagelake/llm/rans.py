@@ -114,7 +114,7 @@ def encode_ids(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(vocabulary).encode
         for batch in portions(batches, "text"):
-            ids = [np.append(x, np.uint32(end)).astype("<u2").tobytes() for x in encode(batch["text"].to_pylist())]
+            ids = [np.append(x, np.uint16(end)).astype("<u2").tobytes() for x in encode(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tk"], pa.array(ids, pa.binary())], names=["doc_id", "tk", "ids"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()

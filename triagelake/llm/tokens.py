@@ -1,29 +1,44 @@
 """Token ids of whole texts with public tokenizers, in Arrow batches inside tasks.
 
 Both vocabularies split texts before merging bytes and never merge across a split, so ids of a
-text are those of its blank-separated parts in order. Parts repeat; each worker remembers the
-ids of the parts it has seen (a bounded number) and encodes the new ones of some texts in one
-call, cut at the tokens that stand between parts. Texts with blanks other than single spaces and
-line feeds go through the tokenizer whole where that matters.
+text are those of its blank-separated parts in order. Texts are split into numbered distinct parts
+with Arrow; parts of ASCII, western European or Russian characters alone are cut further into
+numbered distinct words, digits and signs. Each worker remembers the ids of the words it has seen
+(a bounded number); a new one is only merged by the library's model. Parts with other characters
+take the library's whole way, some in one call that is cut at the tokens between them. Ids of
+parts and texts are gathered by number. Texts with blanks other than single spaces and line feeds
+go through the tokenizer whole where that matters.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, pre_tokenizers
 
-#: Parts in one generation of a worker's memory; the generation before is kept beside it.
-MOST_PARTS = 250_000
-#: Characters of texts that are split at a time.
-SPLIT_CHARS = 1_000_000
+from .common import portions
+
+#: Words in one generation of a worker's memory; the generation before is kept beside it.
+MOST_PARTS = 150_000
+#: Characters (bytes) of texts that are split at a time.
+SPLIT_CHARS = 2_000_000
 PARTS_PER_CALL = 2_000
-_OTHER_BLANKS = re.compile(r"[^\S \n]")
-_RUNS = ("  ", " \n", "\n ", "\n\n")
+#: Patterns for Arrow: pairs of blanks, blanks that are neither space nor line feed.
+_OTHER_BLANKS = r"[ \n]{2}|[\t\x0B-\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: Letters whose class, lower case and normal form need no look at their neighbours.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿА-я"
+_KNOWN = rf"\A[ \n]?[\x21-\x7E{_LETTERS}]*\z"
+#: The patterns of the two vocabularies' files for known characters and single blanks.
+_BYTE_WORDS = rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s"
+_LOWER_WORDS = rf"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+"
+_CUT = "\x00"  # stands before parts and words; texts that hold it go whole
 _MARK = "~"  # one token; stands between parts where blanks leave no token
 _CODERS: dict[str, Coder] = {}
 
@@ -39,9 +54,14 @@ class Coder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = not special
+        self.model = self.tokenizer.model
         names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
-        self.special = re.compile("|".join(map(re.escape, names))) if names else None
         self.drops_blanks = name.startswith("word_")
+        # Texts that go whole: a special token may stand inside a part.
+        self.whole = "|".join([*map(re.escape, names), r"\x00", *([] if self.drops_blanks else [_OTHER_BLANKS])])
+        self.words = _LOWER_WORDS if self.drops_blanks else _BYTE_WORDS
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.alphabet = {k: to_bytes.pre_tokenize_str(chr(k))[0][0] for k in [0x0A, *range(0x20, 0x7F), *range(0xC0, 0x100), *range(0x410, 0x450)]}
         self.inner: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         # Tokens that begin a part: with a blank in byte-level vocabularies, the mark before each part in the other.
@@ -51,72 +71,91 @@ class Coder:
             self.begins[mark[0]] = len(mark) == 1
         else:
             for token, k in self.tokenizer.get_vocab().items():
-                self.begins[k] = token[0] in "\u0120\u010a"  # space and line feed in the byte alphabet
+                self.begins[k] = token[0] in "ĠĊ"  # space and line feed in the byte alphabet
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-
-    def _alone(self, part: str) -> bytes:
-        return self._ids(part if self.drops_blanks or part[:1] == "\n" else " " + part).tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
 
     def _together(self, parts: list[str]) -> list[bytes]:
         """Ids of each part; one by one if the tokens between them do not tell the parts apart."""
-        if self.drops_blanks:
-            text = "".join([f"{_MARK} {x} " for x in parts])
-        else:
-            text = "".join([x if x[:1] == "\n" else " " + x for x in parts])
-        ids = self._ids(text)
+        ids = self._ids("".join([f"{_MARK} {x} " for x in parts] if self.drops_blanks else parts))
         at = np.flatnonzero(self.begins[ids])
         if len(at) != len(parts) or at[0] != 0:
             half = len(parts) // 2
-            return self._together(parts[:half]) + self._together(parts[half:]) if half else [self._alone(parts[0])]
-        raw, skip = ids.tobytes(), 4 * self.drops_blanks
-        cuts = [*(4 * at).tolist(), len(raw)]
+            return self._together(parts[:half]) + self._together(parts[half:]) if half else [self._ids(parts[0]).tobytes()]
+        raw, skip = ids.tobytes(), 2 * self.drops_blanks
+        cuts = [*(2 * at).tolist(), len(raw)]
         return [raw[a + skip:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _learn(self, parts: set[str]) -> None:
-        """Puts all of ``parts`` into the young generation, from the old one where it has them."""
+    def _merged(self, word: str) -> bytes:
+        """Ids of one word of known characters by the library's model."""
+        plain = word.isascii() and word != "\n"
+        word = word.replace(" ", "\u0120") if plain else word.translate(self.alphabet)
+        return array("H", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _learn(self, words: list[str], known: list[bool]) -> None:
+        """Puts all of ``words`` into the young generation, from the old one where it has them."""
         if len(self.inner) > MOST_PARTS:
             self.older, self.inner = self.inner, {}
-        new = parts.difference(self.inner)
-        known = self.older.keys() & new if self.older else ()
-        self.inner.update((x, self.older[x]) for x in known)
-        new = list(new.difference(known))
-        for at in range(0, len(new), PARTS_PER_CALL):
-            some = new[at:at + PARTS_PER_CALL]
-            self.inner.update(zip(some, self._together(some)))
-
-    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = []
-        for text in texts:
-            if self.special and self.special.search(text):  # a special token may stand inside a part
-                split.append(None)
-            elif self.drops_blanks:
-                split.append(text.replace("\n", " ").split(" "))
-            elif any(x in text for x in _RUNS) or _OTHER_BLANKS.search(text):
-                split.append(None)
-            else:
-                split.append(text.replace("\n", " \n").split(" "))
-        self._learn(set().union(*[parts if self.drops_blanks else parts[1:] for parts in split if parts]))
-        inner = self.inner.__getitem__
-        for text, parts in zip(texts, split):
-            if parts is None:
-                yield self._ids(text)
-            elif self.drops_blanks:
-                yield np.frombuffer(b"".join(map(inner, parts)), np.uint32)
+        inner, older, others = self.inner, self.older, []
+        for word, simple in zip(words, known):
+            if word in inner:
+                continue
+            if word in older:
+                inner[word] = older[word]
+            elif simple:
+                inner[word] = self._merged(word)
+            elif self.drops_blanks or word[0] in " \n":
+                others.append(word)
+            else:  # begins a text
+                inner[word] = self._ids(word).tobytes()
+        for at in range(0, len(others), PARTS_PER_CALL):
+            some = others[at:at + PARTS_PER_CALL]
+            inner.update(zip(some, self._together(some)))
+
+    def _ids_of_words(self, words: pa.Array) -> pa.Array:
+        names = words.to_numpy(zero_copy_only=False).tolist()
+        self._learn(names, pc.match_substring_regex(words, _KNOWN).to_numpy(zero_copy_only=False).tolist())
+        raw = list(map(self.inner.__getitem__, names))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
+        return pa.LargeListArray.from_arrays(np.append(0, np.cumsum(sizes)), pa.array(np.frombuffer(b"".join(raw), np.uint16)))
+
+    def _ids_of_parts(self, parts: pa.Array) -> pa.Array:
+        plain = pc.utf8_lower(parts) if self.drops_blanks else parts
+        words = pc.replace_substring_regex(plain, self.words, _CUT + r"\0")
+        words = pc.if_else(pc.match_substring_regex(parts, _KNOWN), words, parts)
+        return _gathered(pc.split_pattern(words, _CUT), self._ids_of_words)
+
+    def _encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        whole = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~whole))
+        if self.drops_blanks:
+            split = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
+        else:  # each part keeps the blank before it
+            split = pc.split_pattern(pc.replace_substring(pc.replace_substring(plain, " ", _CUT + " "), "\n", _CUT + "\n"), _CUT)
+        found = _gathered(split, self._ids_of_parts)
+        ids, until, place = found.values.to_numpy(), found.offsets.to_numpy(), 0
+        for row, alone in enumerate(whole.tolist()):
+            if alone:
+                yield self._ids(texts[row].as_py())
             else:
-                yield np.frombuffer(self._ids(parts[0]).tobytes() + b"".join(map(inner, parts[1:])), np.uint32)
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text in turn; only some texts are split at a time."""
-        some, chars = [], 0
-        for text in texts:
-            some.append(text)
-            chars += len(text)
-            if chars >= SPLIT_CHARS:
-                yield from self._encode(some)
-                some, chars = [], 0
-        yield from self._encode(some)
+                yield ids[until[place]:until[place + 1]]
+                place += 1
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
+        """Ids (16 bits each) of each text in turn; only some texts are split at a time."""
+        rows = pa.record_batch([pa.array(texts, pa.string()) if isinstance(texts, list) else texts], ["text"])
+        for some in portions([rows], "text", SPLIT_CHARS):
+            yield from self._encode(some["text"])
+
+
+def _gathered(split: pa.Array, ids_of: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """Ids of each list of strings; ``ids_of`` gives those of the distinct strings, each list has one at least."""
+    numbered = split.flatten().dictionary_encode()
+    ids = ids_of(numbered.dictionary)
+    sizes = pc.list_value_length(ids).to_numpy()[numbered.indices.to_numpy()]
+    ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))]
+    return pa.LargeListArray.from_arrays(ends, ids.take(numbered.indices).flatten())
 
 
 def coder(name: str) -> Coder:
