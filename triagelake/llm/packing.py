@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, length
         encode = coder(vocabulary).encode
         for batch in portions(batches, "text"):
             rows = []
-            for row, ids in enumerate(encode(batch["text"].to_pylist())):
+            for row, ids in enumerate(encode(batch["text"])):
                 ids = np.append(ids, np.uint32(end)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), length)):
                     part = ids[at:at + length]
