@@ -302,3 +302,24 @@ def test_words_of_known_characters_need_the_model_alone(vocabulary, monkeypatch)
     whole = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     monkeypatch.setattr(coder, "_ids", None)  # the library's whole way
     assert [ids.tolist() for ids in coder.encode(texts)] == whole
+
+
+def test_new_words_are_merged_many_in_one_call():
+    rng, calls = random.Random(5), []
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzбгджé'.", k=rng.randint(1, 12))) for _ in range(3000)]
+    coder = tokens.Coder("byte_bpe_50k.json")
+
+    class Counted:
+        def __init__(self, model):
+            self.model = model
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(self.model, name)
+
+    coder.model = Counted(coder.model)
+    texts = [" ".join(words[k:k + 30]) for k in range(0, 3000, 30)]
+    whole = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in coder.encode(texts)] == whole
+    assert len(calls) < 100  # a call for each word before
+    assert coder.between is not None and tokens.Coder("word_bpe_49k.json").between is None

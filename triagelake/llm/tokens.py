@@ -3,8 +3,9 @@
 Both vocabularies split texts before merging bytes and never merge across a split, so ids of a
 text are those of its blank-separated parts in order. Texts are split into numbered distinct parts
 with Arrow; parts of ASCII, western European or Russian characters alone are cut further into
-numbered distinct words, digits and signs. Each worker remembers the ids of the words it has seen
-(a bounded number); a new one is only merged by the library's model. Parts with other characters
+numbered distinct words, digits and signs. Each worker remembers the words it has seen (a bounded
+number) and their ids as Arrow columns; new ones are only merged by the library's model, many in one
+call where a byte that no merge contains can stand between them. Parts with other characters
 take the library's whole way, some in one call that is cut at the tokens between them. Ids of
 parts and texts are gathered by number. Texts with blanks other than single spaces and line feeds
 go through the tokenizer whole where that matters.
@@ -12,10 +13,12 @@ go through the tokenizer whole where that matters.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,10 +28,12 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import portions
 
-#: Words in one generation of a worker's memory; the generation before is kept beside it.
-MOST_PARTS = 150_000
+#: Words in a worker's memory; beyond, only those of the texts at hand are kept.
+MOST_PARTS = 500_000
+#: Words that are merged in one string; longer strings are slower, shorter ones go through the library's own cache.
+WORDS_PER_STRING = 64
 #: Characters (bytes) of texts that are split at a time.
-SPLIT_CHARS = 2_000_000
+SPLIT_CHARS = 3_000_000
 PARTS_PER_CALL = 2_000
 #: Patterns for Arrow: pairs of blanks, blanks that are neither space nor line feed.
 _OTHER_BLANKS = r"[ \n]{2}|[\t\x0B-\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -61,9 +66,16 @@ class Coder:
         self.whole = "|".join([*map(re.escape, names), r"\x00", *([] if self.drops_blanks else [_OTHER_BLANKS])])
         self.words = _LOWER_WORDS if self.drops_blanks else _BYTE_WORDS
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.alphabet = {k: to_bytes.pre_tokenize_str(chr(k))[0][0] for k in [0x0A, *range(0x20, 0x7F), *range(0xC0, 0x100), *range(0x410, 0x450)]}
-        self.inner: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.alphabet = {k: to_bytes.pre_tokenize_str(chr(k))[0][0] for k in [0, 0x0A, *range(0x20, 0x7F), *range(0xC0, 0x100), *range(0x410, 0x450)]}
+        by_byte = dict(chain.from_iterable(zip(chr(k).encode(), shown) for k, shown in self.alphabet.items()))
+        self.by_byte = "".join(by_byte.get(b, "\ufffe") for b in range(256))
+        # Words can be merged together if the byte between them is a token of its own that no other token contains.
+        between = self.alphabet[0]
+        apart = not self.drops_blanks and [t for t in self.tokenizer.get_vocab(with_added_tokens=False) if between in t] == [between]
+        self.between = self.model.token_to_id(between) if apart else None
+        self.bare = Tokenizer(self.model)
+        self.met = pa.array([], pa.string())
+        self.met_ids = _lists([])
         # Tokens that begin a part: with a blank in byte-level vocabularies, the mark before each part in the other.
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if self.drops_blanks:
@@ -87,38 +99,49 @@ class Coder:
         cuts = [*(2 * at).tolist(), len(raw)]
         return [raw[a + skip:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _merged(self, word: str) -> bytes:
-        """Ids of one word of known characters by the library's model."""
-        plain = word.isascii() and word != "\n"
-        word = word.replace(" ", "\u0120") if plain else word.translate(self.alphabet)
-        return array("H", [t.id for t in self.model.tokenize(word)]).tobytes()
-
-    def _learn(self, words: list[str], known: list[bool]) -> None:
-        """Puts all of ``words`` into the young generation, from the old one where it has them."""
-        if len(self.inner) > MOST_PARTS:
-            self.older, self.inner = self.inner, {}
-        inner, older, others = self.inner, self.older, []
-        for word, simple in zip(words, known):
-            if word in inner:
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words of known characters by the library's model."""
+        if self.between is None:
+            return [array("H", [t.id for t in self.model.tokenize(x.translate(self.alphabet))]).tobytes() for x in words]
+        strings = ["".join([x + _CUT for x in words[k:k + WORDS_PER_STRING]]) for k in range(0, len(words), WORDS_PER_STRING)]
+        shown = [codecs.charmap_decode(x.encode(), "strict", self.by_byte)[0] for x in strings]
+        ids = np.fromiter(chain.from_iterable([x.ids for x in self.bare.encode_batch_fast(shown, add_special_tokens=False)]), np.uint16)
+        raw, ends = ids.tobytes(), (2 * np.flatnonzero(ids == self.between)).tolist()
+        return [raw[a:b] for a, b in zip([0, *[e + 2 for e in ends]], ends)]
+
+    def _learned(self, words: pa.Array) -> pa.Array:
+        """Ids of words that are new to the worker."""
+        names, found = words.to_numpy(zero_copy_only=False).tolist(), {}
+        known = pc.match_substring_regex(words, _KNOWN).to_numpy(zero_copy_only=False).tolist()
+        simple = [x for x, is_known in zip(names, known) if is_known]
+        others = []
+        for word, is_known in zip(names, known):
+            if is_known:
                 continue
-            if word in older:
-                inner[word] = older[word]
-            elif simple:
-                inner[word] = self._merged(word)
-            elif self.drops_blanks or word[0] in " \n":
+            if self.drops_blanks or word[0] in " \n":
                 others.append(word)
             else:  # begins a text
-                inner[word] = self._ids(word).tobytes()
-        for at in range(0, len(others), PARTS_PER_CALL):
-            some = others[at:at + PARTS_PER_CALL]
-            inner.update(zip(some, self._together(some)))
+                found[word] = self._ids(word).tobytes()
+        for some, ids_of in ((simple, self._merged), (others, self._together)):
+            for at in range(0, len(some), PARTS_PER_CALL):
+                part = some[at:at + PARTS_PER_CALL]
+                found.update(zip(part, ids_of(part)))
+        return _lists([found[x] for x in names])
 
     def _ids_of_words(self, words: pa.Array) -> pa.Array:
-        names = words.to_numpy(zero_copy_only=False).tolist()
-        self._learn(names, pc.match_substring_regex(words, _KNOWN).to_numpy(zero_copy_only=False).tolist())
-        raw = list(map(self.inner.__getitem__, names))
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
-        return pa.LargeListArray.from_arrays(np.append(0, np.cumsum(sizes)), pa.array(np.frombuffer(b"".join(raw), np.uint16)))
+        words = words.cast(pa.string())
+        places = pc.index_in(words, value_set=self.met)
+        if places.null_count:
+            missing = words.filter(places.is_null())
+            at = places.fill_null(-1).to_numpy().copy()
+            at[at < 0] = len(self.met) + np.arange(places.null_count, dtype=at.dtype)
+            places = pa.array(at)
+            self.met_ids = pa.concat_arrays([self.met_ids, self._learned(missing)])
+            self.met = pa.concat_arrays([self.met, missing])
+        ids = self.met_ids.take(places)
+        if len(self.met) > MOST_PARTS:
+            self.met, self.met_ids = words, ids
+        return ids
 
     def _ids_of_parts(self, parts: pa.Array) -> pa.Array:
         plain = pc.utf8_lower(parts) if self.drops_blanks else parts
@@ -149,6 +172,12 @@ class Coder:
             yield from self._encode(some["text"])
 
 
+def _lists(raw: list[bytes]) -> pa.Array:
+    """Lists of 16-bit ids from their bytes."""
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
+    return pa.LargeListArray.from_arrays(np.append(0, np.cumsum(sizes)), pa.array(np.frombuffer(b"".join(raw), np.uint16)))
+
+
 def _gathered(split: pa.Array, ids_of: Callable[[pa.Array], pa.Array]) -> pa.Array:
     """Ids of each list of strings; ``ids_of`` gives those of the distinct strings, each list has one at least."""
     numbered = split.flatten().dictionary_encode()
