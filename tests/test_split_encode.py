@@ -163,3 +163,19 @@ def test_only_training_rows_are_resampled(spark):
     negatives = positives[1] - positives[0]
     assert positives[0] == int(0.5 * negatives)
     assert "synthetic" not in prepared.validation.columns
+
+
+def test_claims_are_generated_in_methods_that_java_compiles(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        spark.conf.set(limit, "65535")
+        rows = tt.contract_claims(spark, SMALL)
+        assert int(spark.conf.get(limit)) <= 8000
+        pieces = rows.toPandas()
+        spark.conf.set(limit, "65535")
+        assert rows.select("*").toPandas().equals(pieces)
+        spark.conf.set(limit, "4000")
+        tt.contract_claims(spark, SMALL)
+        assert spark.conf.get(limit) == "4000"
+    finally:
+        spark.conf.unset(limit)
