@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from triagelake.operators import neighbours
+from triagelake.operators import neighbours, resample
 from triagelake.operators.neighbour_index import approximate_neighbours
 
 
@@ -80,3 +80,40 @@ def test_index_gives_the_exact_lists_on_coded_points(spark):
     found = lists(approximate_neighbours(points(spark, x), "id", "vec", 5, trees=6, probes=3, bucket_rows=400))
     exact = brute(x, 5)
     assert sum(len(set(found[a]) & set(exact[a])) for a in exact) >= 0.9 * 5 * len(x)
+
+
+def test_oversampling_is_exact_for_any_number_of_rows(spark, monkeypatch):
+    """Beyond 2,000,000 minority rows the approximate index used to take the place of the search."""
+    asked = []
+
+    def exact(points, *_):
+        asked.append(points.count())
+        return points.limit(0)
+
+    monkeypatch.setattr(resample, "nearest_neighbours", exact)
+    df = spark.range(2_000_010).selectExpr("id", "int(id < 2000005) AS y", "double(id % 7) AS a")
+    resample.oversampler(df, ["a"], "y", "id")
+    assert asked == [2_000_005]
+
+
+def test_leaves_of_a_block_leave_out_nothing():
+    """Ties, copies, ids that are no part of the block, limits and a missing coordinate: the same lists, far fewer pairs."""
+    draw = np.random.default_rng(8)
+    x = coded(3000)
+    x[draw.integers(0, 3000, 200)] = x[5]
+    who, asker = np.arange(3000) * 2, np.arange(0, 4000, 3)
+    here = np.concatenate([x[draw.integers(0, 3000, 1200)], x[:len(asker) - 1200] + 0.1])
+    here[3, 2] = np.nan
+    for limit in (np.full(len(asker), np.inf), np.where(asker % 2 == 0, 2.0, np.inf)):
+        best = lambda f, **kw: list(zip(*(v.tolist() for v in f(here, asker, x, who, 5, limit, **kw))))
+        exact, fast = best(neighbours.block_best), best(neighbours.leaf_best, leaf_rows=64)
+        near = lambda found: [f for f in found if f[2] <= limit[f[0]]]
+        assert near(fast) == near(exact)
+
+
+def test_a_block_is_measured_in_few_leaves(monkeypatch):
+    pairs, measure = [], neighbours.block_best
+    monkeypatch.setattr(neighbours, "block_best", lambda here, asker, there, *a: pairs.append(len(here) * len(there)) or measure(here, asker, there, *a))
+    x, who = coded(8000), np.arange(8000)
+    neighbours.leaf_best(x, who, x, who, 5, np.full(8000, np.inf), leaf_rows=64)
+    assert sum(pairs) < 0.3 * 8000 ** 2, sum(pairs) / 8000 ** 2
