@@ -202,3 +202,24 @@ def test_raised_rows_are_not_kept(spark, monkeypatch):
     assert kept == [False] * 3
     assert [sorted(c) for c in staged] == [["features", "fold", "y"], ["fold", "margin", "y"]]
     assert models.scored(model, models.assembled(df, ["a", "b"]), ["y"]).count() == 100
+
+
+def test_a_large_forest_scores_in_passes(spark, monkeypatch):
+    """No pass holds more nodes than allowed; scores and repeated or null row ids are as in one pass."""
+    df = margins_of(spark, 400, 7)
+    model = models.RandomForestClassifier(labelCol="y", numTrees=7, maxDepth=6, seed=1).fit(df)
+    rows = df.withColumn("id", F.when(F.col("id") % 5 > 0, F.col("id") % 20)).unionByName(df)
+    once = [tuple(r) for r in models.scored(model, rows, ["id", "y"]).collect()]
+    nodes = [t.numNodes for t in model.trees]
+    monkeypatch.setattr(models, "PASS_NODES", max(nodes) + min(nodes))
+    sizes = [[t.numNodes for t in part.trees] for part in models.forest_parts(model)]
+    assert sum(sizes, []) == nodes and len(sizes) > 2 and all(sum(s) <= models.PASS_NODES for s in sizes)
+    passes = [tuple(r) for r in models.scored(model, rows, ["id", "y"]).collect()]
+    plain = lambda found: sorted((-1 if a is None else a, b, round(c, 12)) for a, b, c in found)
+    assert len(once) == 800 and plain(passes) == plain(once)
+
+
+def test_splitting_nodes_takes_little_of_a_task():
+    """With 1024 MB per task, two tasks filled a heap of 1800 MB on deep trees."""
+    for made in (models.registry("y"), models.weighted_registry("y", "w")):
+        assert made["Random Forest"]().getMaxMemoryInMB() <= 256
